@@ -16,7 +16,7 @@ from lakecare.operators.merge import merge_upsert
 from lakecare.operators.quality import date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
 from lakecare.plans import gold, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD, VITALS_EVENT
-from lakecare.session import scratch_path
+from lakecare.session import scratch_path, stage, streaming_session
 from lakecare.sinks import tables
 from lakecare.sources import batch, control, retail
 from lakecare.streaming import landing, vitals as streams
@@ -532,7 +532,8 @@ def medallion_pipeline(lake: Lake) -> DataFrame:
     """Landed Parquet, both jobs, and the dashboard over the written gold tables."""
     base = scratch_path(lake.spark, "pipeline")
     day = run_date_folder(RUN_DATE)
-    unique_rows = dedupe_latest(lake.raw_patients, ["patient_id"], ["last_modified_date"], PATIENT_TIES)
+    dated = lake.raw_patients.where(rules.date_shaped(F.col("admission_date")))
+    unique_rows = dedupe_latest(dated, ["patient_id"], ["last_modified_date"], PATIENT_TIES)
     unique_rows.write.parquet(f"{base}/bronze/patients/{day}")
     ties = [F.desc_nulls_last("total_amount"), "record_id"]
     dated = lake.raw_claims.withColumn("processed_date", F.nullif("processed_date", F.lit("NULL")))
@@ -568,20 +569,22 @@ def vitals_alerts(lake: Lake) -> DataFrame:
     return streams.vitals_alerts(lake.vitals)
 
 
-def _streamed(lake: Lake) -> str:
-    """Run both vitals queries over the events as a stream; returns their output folder."""
+def _vitals_stream(lake: Lake) -> DataFrame:
     layout = retail.table(lake.spark, lake.folder, "events").schema
-    events = streams.read_vitals_files(lake.spark, f"{lake.folder}/events.parquet", layout, "parquet")
-    source = retail.vitals_of(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    base = scratch_path(lake.spark, "stream")
-    for running in streams.start_vitals(source, f"{base}/windows", f"{base}/alerts", f"{base}/checkpoints", once=True):
-        running.awaitTermination()
-    return base
+    session = streaming_session(lake.spark)
+    events = streams.read_vitals_files(session, retail.stream_path(lake.folder, "events"), layout, "parquet")
+    return retail.vitals_of(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
 @query
 def vitals_windows_stream(lake: Lake) -> DataFrame:
-    windows = lake.spark.read.parquet(f"{_streamed(lake)}/windows")
+    """Both stream queries over one source; the window files are returned."""
+    base = scratch_path(lake.spark, "stream")
+    for running in streams.start_vitals(
+        _vitals_stream(lake), f"{base}/windows", f"{base}/alerts", f"{base}/checkpoints", once=True
+    ):
+        running.awaitTermination()
+    windows = lake.spark.read.parquet(f"{base}/windows")
     return windows.withColumns(
         {
             "window_end_time": F.col("window_end_time").cast("timestamp_ntz"),
@@ -593,7 +596,10 @@ def vitals_windows_stream(lake: Lake) -> DataFrame:
 
 @query
 def vitals_alerts_stream(lake: Lake) -> DataFrame:
-    alerts = lake.spark.read.parquet(f"{_streamed(lake)}/alerts")
+    base = scratch_path(lake.spark, "stream")
+    alerting = streams.vitals_alerts(_vitals_stream(lake))
+    streams.start_alert_files(alerting, f"{base}/alerts", f"{base}/checkpoint", once=True).awaitTermination()
+    alerts = lake.spark.read.parquet(f"{base}/alerts")
     return alerts.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
@@ -618,16 +624,12 @@ def risk_band_distribution(lake: Lake) -> DataFrame:
 
 @query
 def readmission_predictions(lake: Lake) -> DataFrame:
-    from lakecare.session import stage
-
     features = stage(lake.features, "features")
     return readmission.score(readmission.train(features).model, features, AS_OF)
 
 
 @query
 def readmission_model_report(lake: Lake) -> DataFrame:
-    from lakecare.session import stage
-
     features = stage(lake.features, "features")
     trained = readmission.train(features)
     weights = readmission.feature_importances(trained.model, features).select(

@@ -46,6 +46,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lakecare-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session for stateful streams; the caller's settings stay as they are.
+
+    The number of state partitions is fixed for the life of a checkpoint, so it follows
+    the cores of the cluster rather than the batch default. State lives in RocksDB, off
+    the heap, which also suits states larger than executor memory.
+    """
+    sibling = spark.newSession()
+    for key, value in spark.sparkContext.getConf().getAll():
+        if key.startswith("spark.sql.") and sibling.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    sibling.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.sparkContext.defaultParallelism)
+    sibling.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return sibling
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: same rows and row placement on every later use."""
     spark = df.sparkSession

@@ -39,8 +39,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True for a published version or a folder holding data files."""
-    return path_exists(spark, f"{path}/{POINTER}") or path_exists(spark, f"{path}/_SUCCESS")
+    """True for a published version or a folder holding data (not just staging leftovers)."""
+    fs, folder = _fs(spark, path)
+    if not fs.exists(folder):
+        return False
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+    if POINTER in names:
+        return True
+    return any(not n.startswith(("_", ".")) or n.startswith(f"{BUCKET}=") for n in names if n != "versions")
 
 
 def current_path(spark: SparkSession, path: str) -> str:

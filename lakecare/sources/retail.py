@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stream_path(folder: str, name: str) -> str:
+    """A glob for the table: a file stream takes a single file only through a glob."""
+    return f"{folder}/{name}.parque[t]"
+
+
 def _text(*parts: Column | str) -> Column:
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 

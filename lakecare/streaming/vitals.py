@@ -127,8 +127,15 @@ def _begin(writer, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def start_window_files(windows: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Closed windows to Parquet, foldered by date and hour of the window end."""
+def start_window_files(
+    windows: DataFrame, path: str, checkpoint: str, once: bool = False, files_per_hour: int | None = None
+) -> StreamingQuery:
+    """Closed windows to Parquet, foldered by date and hour of the window end.
+
+    Rows of an hour are gathered into ``files_per_hour`` files by key hash, instead of one
+    file per hour from every task; the default grows with the cores of the cluster.
+    """
+    files = files_per_hour or max(1, windows.sparkSession.sparkContext.defaultParallelism // 8)
     placed = windows.withColumns(
         {
             "date": F.date_format("window_end_time", "yyyy-MM-dd"),
@@ -136,7 +143,8 @@ def start_window_files(windows: DataFrame, path: str, checkpoint: str, once: boo
         }
     )
     writer = (
-        placed.writeStream.format("parquet")
+        placed.repartition("date", "hour", F.pmod(F.xxhash64(*windows.columns), F.lit(files)))
+        .writeStream.format("parquet")
         .partitionBy("date", "hour")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
