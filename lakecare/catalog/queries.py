@@ -65,7 +65,8 @@ class Lake:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_admissions(self.patients, self.claims)
+        """Claims are used twice (hot-key count, join), so they are written once first."""
+        return gold.fact_admissions(self.patients, stage(self.claims.select(*gold.CLAIM_SIDE), "claims"))
 
     @cached_property
     def metrics(self) -> DataFrame:

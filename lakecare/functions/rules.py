@@ -27,7 +27,6 @@ BAND_STEPS = ((0.70, "Very High"), (0.50, "High"), (0.30, "Medium"))
 BAND_BOTTOM = "Low"
 HIGH_VALUE_ABOVE = 500000
 PII_MASK = "***"
-DATE_PATTERN = "yyyy-MM-dd"
 DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 CODE_SHAPE = r"^[A-Z]\d{2}(\.\d{1,4})?$"
 WEEKEND_DAYS = (1, 7)  # Sunday and Saturday
@@ -55,7 +54,7 @@ def normalized(text: Column) -> Column:
 
 def parsed_date(text: Column) -> Column:
     """Date from text; anything malformed (also the word NULL) becomes null."""
-    return F.try_to_date(text, DATE_PATTERN)
+    return F.when(text.rlike(DATE_SHAPE), text.try_cast("date"))
 
 
 def gender(raw: Column) -> Column:

@@ -16,12 +16,12 @@ BROADCAST_KEYS = 200_000
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> tuple[DataFrame, int]:
     """Keys with more than ``threshold`` rows, with their row counts.
 
-    Counts combine on the map side, and at most rows/threshold keys can qualify.
+    Counts combine on the map side, and at most rows/threshold keys can qualify. Without
+    hot keys, the usual case, this is one counting pass over the key columns.
     """
-    found = pin(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > threshold)
-    )
-    return found, found.count()
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > threshold)
+    n_hot = found.count()
+    return (pin(found) if n_hot else found), n_hot
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

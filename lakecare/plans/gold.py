@@ -14,11 +14,11 @@ from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.joins import HOT_ROWS, left_join_skewed
 from lakecare.schemas import GOLD
 
-_PATIENT_SIDE = (
+PATIENT_SIDE = (
     "patient_id", "hospital_id", "admission_date", "discharge_date", "length_of_stay", "diagnosis_code",
     "ward", "attending_physician", "age", "age_group", "readmission_flag",
 )
-_CLAIM_SIDE = (
+CLAIM_SIDE = (
     "patient_id", "claim_id", "total_amount", "insurance_covered", "patient_copay", "claim_status",
     "claim_type", "coverage_ratio",
 )
@@ -43,7 +43,7 @@ def dim_patient(patients: DataFrame, tie_breakers: Sequence[str | Column] | None
 def fact_admissions(patients: DataFrame, claims: DataFrame, threshold: int = HOT_ROWS) -> DataFrame:
     """Every patient row with each of its claims; a patient without claims stays once."""
     joined = left_join_skewed(
-        patients.select(*_PATIENT_SIDE), claims.select(*_CLAIM_SIDE), ["patient_id"], ["claim_id"], threshold
+        patients.select(*PATIENT_SIDE), claims.select(*CLAIM_SIDE), ["patient_id"], ["claim_id"], threshold
     )
     day = F.col("admission_date")
     return joined.withColumns(

@@ -12,10 +12,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+LINES = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+EVENTS = ("event_id", "ts", "user_id", "event_type")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(
+    spark: SparkSession, folder: str, name: str, columns: tuple[str, ...], by: tuple[str, ...]
+) -> DataFrame:
+    """The columns of a large table, on all cores.
+
+    A file of one row group is read by one task however many cores wait, and everything up
+    to the first shuffle stays there. Only such a table is redistributed, by a hash of the
+    columns that tell its rows apart; one with enough splits is left as it is.
+    """
+    rows = table(spark, folder, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *by)
+
+
 def stream_path(folder: str, name: str) -> str:
     """A glob for the table: a file stream takes a single file only through a glob."""
     return f"{folder}/{name}.parque[t]"
@@ -26,7 +48,7 @@ def _text(*parts: Column | str) -> Column:
 
 
 def _iso(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("string")
 
 
 def _cycle(values: Column, n: int) -> Column:
@@ -57,7 +79,7 @@ def bronze_patients(spark: SparkSession, folder: str) -> DataFrame:
         .when(customer % 5 == 3, "male")
         .otherwise("x")
     )
-    visits = table(spark, folder, "orders").join(
+    visits = spread_table(spark, folder, "orders", ORDERS, ("o_orderkey",)).join(
         table(spark, folder, "customer"), F.col("o_custkey") == customer
     )
     return visits.select(
@@ -88,7 +110,7 @@ def bronze_claims(spark: SparkSession, folder: str) -> DataFrame:
     empty = (F.col("l_linenumber") == 7) & (F.col("l_quantity") == 1)
     admitted, shipped = F.to_date("o_orderdate"), F.to_date("l_shipdate")
     rows = (
-        table(spark, folder, "lineitem")
+        spread_table(spark, folder, "lineitem", LINES, LINES[:4])
         .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -143,4 +165,4 @@ def vitals_of(events: DataFrame) -> DataFrame:
 
 
 def vitals(spark: SparkSession, folder: str) -> DataFrame:
-    return vitals_of(table(spark, folder, "events"))
+    return vitals_of(spread_table(spark, folder, "events", EVENTS, ("event_id",)))
