@@ -127,7 +127,9 @@ def train(
     ).fit(vectors)
     counts = {"train_size": vectors.count(), "test_size": testing.count()}
     vectors.unpersist()
-    model = PipelineModel(stages=[*prepared.stages, search.bestModel])
+    # A fitted forest refers to its session through the training summary, which cannot be
+    # sent to tasks once a row count was observed in that session; a copy has no summary.
+    model = PipelineModel(stages=[*prepared.stages, search.bestModel.copy()])
     params = {"model_type": "RandomForestClassifier", **{k: str(v) for k, v in counts.items()}}
     return Trained(model, evaluate(model, testing), params, list(search.avgMetrics))
 
