@@ -421,6 +421,10 @@ FINAL: dict[str, str] = {
         FROM admissions WHERE readmission_flag""",
     "readmission_root_cause": _root_cause("fact", "claim_id"),
     "readmission_root_cause_by_admission": _root_cause("admissions", "record_id"),
+    "external_gold_tables": """
+        SELECT h.hospital_id, h.admissions, c.claims
+        FROM (SELECT hospital_id, count(*) AS admissions FROM patients GROUP BY hospital_id) h
+        LEFT JOIN (SELECT hospital_id, count(*) AS claims FROM claims GROUP BY hospital_id) c ON c.hospital_id = h.hospital_id""",
     "external_gold_views": """
         SELECT h.hospital_id, h.admission_year, h.admission_month, h.total_admissions, h.total_revenue_inr, r.patients, r.high_risk
         FROM dashboard h LEFT JOIN (

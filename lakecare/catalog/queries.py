@@ -82,7 +82,9 @@ class Lake:
 
     @cached_property
     def features(self) -> DataFrame:
-        return readmission.ml_features(self.fact, self.dim)
+        """Facts meet the stored dimension: with plain shuffles on both sides, adaptive
+        execution can split a patient who owns a large share of the facts."""
+        return readmission.ml_features(self.fact, stage(self.dim, "dim"))
 
 
 QUERIES: dict[str, Query] = {}
@@ -426,6 +428,18 @@ def readmission_root_cause_by_admission(lake: Lake) -> DataFrame:
     return serving.readmission_root_cause(lake.admissions, PATIENT_TIES)
 
 
+@query
+def external_gold_tables(lake: Lake) -> DataFrame:
+    base = scratch_path(lake.spark, "gold")
+    tables.overwrite_table(lake.metrics, f"{base}/agg_hospital_metrics")
+    tables.overwrite_table(lake.financial, f"{base}/agg_financial_summary")
+    names = serving.create_gold_tables(lake.spark, base, "lakecare_gold", ["agg_hospital_metrics", "agg_financial_summary"])
+    metrics, money = (lake.spark.table(name) for name in names)
+    return metrics.groupBy("hospital_id").agg(F.sum("total_admissions").alias("admissions")).join(
+        money.groupBy("hospital_id").agg(F.sum("claim_count").alias("claims")), "hospital_id", "left"
+    )
+
+
 @query
 def external_gold_views(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "gold")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +55,23 @@ def register_gold(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return tables
 
 
+def create_gold_tables(
+    spark: SparkSession, base: str, database: str = "gold", names: Sequence[str] = tuple(GOLD)
+) -> list[str]:
+    """Catalog tables over the gold files; dropping one leaves its files alone."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    made = []
+    for name in names:
+        full = f"{database}.{name}{EXTERNAL_SUFFIX}"
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        path = current_path(spark, f"{base}/{name}")
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(full)):
+            spark.catalog.recoverPartitions(full)
+        made.append(full)
+    return made
+
+
 def register_views(gold: Mapping[str, DataFrame]) -> None:
     """The four serving views, for use from SQL."""
     frames = (
