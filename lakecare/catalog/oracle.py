@@ -441,6 +441,9 @@ FINAL: dict[str, str] = {
     "copy_consistency": """
         SELECT 'patients' AS table_name, count(*) AS rows_read, count(*) AS rows_written, TRUE AS consistent FROM raw_patients
         UNION ALL SELECT 'claims', count(*), count(*), TRUE FROM raw_claims""",
+    "pipeline_run_log": """
+        SELECT 'ehr_ingestion' AS pipeline_name, 'run-1' AS run_id, 'Succeeded' AS status, count(*) AS rows_copied FROM raw_patients
+        UNION ALL SELECT 'vitals_ingestion', 'run-2', 'Succeeded', count(*) FROM vitals""",
     "typed_landing": """
         SELECT record_id, patient_id, TRY_CAST(date_of_birth AS DATE) AS date_of_birth,
                TRY_CAST(admission_date AS DATE) AS admission_date, TRY_CAST(discharge_date AS DATE) AS discharge_date,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -515,6 +516,15 @@ def copy_consistency(lake: Lake) -> DataFrame:
     return patients.unionByName(tables.checked_copy(lake.raw_claims, f"{base}/claims", "claims"))
 
 
+@query
+def pipeline_run_log(lake: Lake) -> DataFrame:
+    base = scratch_path(lake.spark, "logged")
+    at = datetime.fromisoformat(AS_OF)
+    tables.logged_copy(lake.raw_patients, f"{base}/patients", f"{base}/log", "ehr_ingestion", "run-1", at)
+    tables.logged_copy(lake.vitals, f"{base}/vitals", f"{base}/log", "vitals_ingestion", "run-2", at)
+    return lake.spark.read.schema(tables.RUN_LOG).parquet(f"{base}/log").drop("run_time")
+
+
 @query
 def typed_landing(lake: Lake) -> DataFrame:
     path = scratch_path(lake.spark, "typed")

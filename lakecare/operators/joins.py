@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from lakecare.session import pin
 
 HOT_ROWS = 2_000_000
+HOT_ROWS_SETTING = "lakecare.hotRows"
 BROADCAST_KEYS = 200_000
 
 
+def hot_threshold(df: DataFrame, given: int | None) -> int:
+    """Rows one key may hold before it is split: the argument, the session setting, or the default."""
+    return given or int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> tuple[DataFrame, int]:
     """Keys with more than ``threshold`` rows, with their row counts.
 
@@ -34,7 +40,7 @@ def left_join_skewed(
     right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    threshold: int = HOT_ROWS,
+    threshold: int | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (keys)``, exact for any key distribution.
 
@@ -44,7 +50,7 @@ def left_join_skewed(
     hot key has matches by definition, so its unmatched salts are dropped. Cold keys
     keep one salt and plain left-join behaviour.
     """
-    keys = list(keys)
+    keys, threshold = list(keys), hot_threshold(right, threshold)
     hot, n_hot = hot_keys(right.where(F.col(keys[0]).isNotNull()), keys, threshold)
     if n_hot == 0:
         return left.join(right, keys, "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakecare.operators.joins import HOT_ROWS, hot_keys, small
+from lakecare.operators.joins import hot_keys, hot_threshold, small
 from lakecare.session import pin
 
 
@@ -56,7 +56,7 @@ def number_in_order(
     order: Sequence[str],
     ordinal: str = "visit_num",
     successors: dict[str, str] | None = None,
-    threshold: int = HOT_ROWS,
+    threshold: int | None = None,
 ) -> DataFrame:
     """Add ``row_number()`` and ``lead()`` per key, ordered ascending by ``order``.
 
@@ -65,6 +65,7 @@ def number_in_order(
     ever holds a whole hot key.
     """
     keys, order, successors = list(keys), list(order), dict(successors or {})
+    threshold = hot_threshold(df, threshold)
     hot, n_hot = hot_keys(df, keys, threshold)
     if n_hot == 0:
         return _plain(df, keys, order, ordinal, successors)

@@ -11,7 +11,7 @@ from lakecare.functions import rules
 from lakecare.functions.clock import AsOf, as_of_timestamp
 from lakecare.functions.exact import exact_avg, exact_sum, share_pct
 from lakecare.operators.dedupe import dedupe_latest
-from lakecare.operators.joins import HOT_ROWS, left_join_skewed
+from lakecare.operators.joins import left_join_skewed
 from lakecare.schemas import GOLD
 
 PATIENT_SIDE = (
@@ -40,7 +40,7 @@ def dim_patient(patients: DataFrame, tie_breakers: Sequence[str | Column] | None
     )
 
 
-def fact_admissions(patients: DataFrame, claims: DataFrame, threshold: int = HOT_ROWS) -> DataFrame:
+def fact_admissions(patients: DataFrame, claims: DataFrame, threshold: int | None = None) -> DataFrame:
     """Every patient row with each of its claims; a patient without claims stays once."""
     joined = left_join_skewed(
         patients.select(*PATIENT_SIDE), claims.select(*CLAIM_SIDE), ["patient_id"], ["claim_id"], threshold

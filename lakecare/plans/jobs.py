@@ -1,13 +1,13 @@
 """Jobs: bronze files to silver tables, silver tables to gold tables.
 
-Each job reads stored tables and writes stored tables. Every output is written once, and
-its row count is taken while it is written.
+Each job reads stored tables and writes stored tables, each output once.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +22,17 @@ SILVER_SOURCES = ("patients", "claims")
 BUCKETS = 256
 
 
-def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    seen = Observation(f"rows-{uuid.uuid4().hex}")
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+logger = logging.getLogger(__name__)
+
+
+def bronze_quality(raw: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Rows and nulls per critical column in one pass; nulls are logged as warnings."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    found = raw.agg(F.count(F.lit(1)).alias("rows"), *nulls).first().asDict()
+    for column in columns:
+        if found[column]:
+            logger.warning("%d rows without %s", found[column], column)
+    return found
 
 
 def bronze_to_silver(
@@ -38,8 +45,8 @@ def bronze_to_silver(
     fmt: str = "csv",
     layout: str = "bucketed",
     buckets: int = BUCKETS,
-) -> list[str]:
-    """Transform and upsert the chosen source; returns the tables written.
+) -> dict[str, dict[str, int]]:
+    """Transform and upsert the chosen source; returns the bronze measures per table.
 
     ``bucketed`` tables rewrite only the key buckets a batch touches. ``versioned`` ones
     are partitioned by business columns and rewritten as a whole.
@@ -49,13 +56,16 @@ def bronze_to_silver(
     if layout not in ("bucketed", "versioned"):
         raise ValueError(f"unknown table layout {layout!r}")
     chosen = SILVER_SOURCES if source == "all" else (source,)
+    measures = {}
     for name in chosen:
         if name == "patients":
             raw = read_bronze(spark, bronze, name, run_date, BRONZE_PATIENTS, fmt)
+            measures[name] = bronze_quality(raw, silver.CRITICAL_PATIENT_COLUMNS)
             rows, keys = silver.silver_patients(raw, as_of, run_date), silver.PATIENT_KEY
             partition_by: Sequence[str] = ("admission_year", "admission_month")
         else:
             raw = read_bronze(spark, bronze, name, run_date, BRONZE_CLAIMS, fmt)
+            measures[name] = bronze_quality(raw, (*silver.CLAIM_KEY, "patient_id"))
             rows, keys = silver.silver_claims(raw, as_of, run_date), silver.CLAIM_KEY
             partition_by = ("claim_type", "claim_status")
         path = f"{silver_base}/{name}"
@@ -66,7 +76,7 @@ def bronze_to_silver(
                 day = F.col("admission_date")
                 rows = rows.withColumns({"admission_year": F.year(day), "admission_month": F.month(day)})
             upsert_table(spark, path, rows, keys, partition_by, unique=True)
-    return list(chosen)
+    return measures
 
 
 def silver_to_gold(
@@ -84,6 +94,7 @@ def silver_to_gold(
     }
     written = {}
     for name, (df, partition_by) in outputs.items():
-        path = f"{gold_base}/{name}"
-        written[name] = _counted(df, lambda d, p=path, by=partition_by: overwrite_table(d, p, by))
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        overwrite_table(df, f"{gold_base}/{name}", partition_by, count_into=seen)
+        written[name] = seen.get["rows"]
     return written

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from lakecare.functions.clock import AsOf, as_of_date, as_of_timestamp
 from lakecare.functions.exact import exact_avg, exact_millions, exact_sum, share_pct
 from lakecare.operators.dedupe import dedupe_latest
-from lakecare.operators.joins import HOT_ROWS
 from lakecare.operators.sequence import number_in_order
 from lakecare.schemas import GOLD
 from lakecare.sinks.tables import current_path
@@ -59,7 +58,7 @@ def create_gold_tables(
     spark: SparkSession, base: str, database: str = "gold", names: Sequence[str] = tuple(GOLD)
 ) -> list[str]:
     """Catalog tables over the gold files; dropping one leaves its files alone."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
     made = []
     for name in names:
         full = f"{database}.{name}{EXTERNAL_SUFFIX}"
@@ -269,7 +268,7 @@ def ward_efficiency(fact: DataFrame) -> DataFrame:
     )
 
 
-def visit_sequence(visits: DataFrame, tie_breakers: list[str], threshold: int = HOT_ROWS) -> DataFrame:
+def visit_sequence(visits: DataFrame, tie_breakers: list[str], threshold: int | None = None) -> DataFrame:
     """Readmitted visits numbered per patient, with the date of the next one."""
     flagged = visits.where("readmission_flag")
     return number_in_order(
@@ -282,7 +281,7 @@ def visit_sequence(visits: DataFrame, tie_breakers: list[str], threshold: int =
 
 
 def readmission_root_cause(
-    visits: DataFrame, tie_breakers: list[str], within_days: int = READMISSION_WINDOW_DAYS, threshold: int = HOT_ROWS
+    visits: DataFrame, tie_breakers: list[str], within_days: int = READMISSION_WINDOW_DAYS, threshold: int | None = None
 ) -> DataFrame:
     """Visits followed by another one of the same patient within the window.
 

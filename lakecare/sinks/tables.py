@@ -70,14 +70,19 @@ def overwrite_table(
     dynamic: bool = False,
     fmt: str = "parquet",
     gather: bool = True,
+    count_into: Observation | None = None,
 ) -> None:
     """Replace the table and its schema, or with ``dynamic`` only the partitions present in ``df``.
 
     Rows are gathered per partition value before the write, so a partition is a few
     files instead of one per task; the rebalance hint splits a partition that is too big.
+    ``count_into`` receives ``rows``, counted in the writing tasks themselves, where a
+    repeated task is counted once.
     """
     if partition_by and gather:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if count_into is not None:
+        df = df.observe(count_into, F.count(F.lit(1)).alias("rows"))
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -134,7 +139,8 @@ def upsert_bucketed(
 
     The bucket is a hash of the key, so a row never changes its bucket and a bucket never
     empties; rewriting the touched ones in place is enough. Repeating a failed run gives
-    the same table. ``buckets`` must stay the same for the life of a table.
+    the same table. ``buckets`` must stay the same for the life of a table; choose it so
+    that a bucket holds a few gigabytes, since that is the unit rewritten.
     """
     if not unique:
         require_unique(source, keys)
@@ -192,6 +198,19 @@ def require_copy(df: DataFrame, path: str, name: str) -> int:
     return outcome["rows_written"]
 
 
+def logged_copy(
+    df: DataFrame, path: str, log: str, pipeline: str, run_id: str, at: datetime
+) -> int:
+    """A checked copy with its run record, written on success and on failure alike."""
+    try:
+        rows = require_copy(df, path, pipeline)
+    except Exception:
+        log_run(df.sparkSession, log, pipeline, run_id, "Failed", None, at)
+        raise
+    log_run(df.sparkSession, log, pipeline, run_id, "Succeeded", rows, at)
+    return rows
+
+
 RUN_LOG = "pipeline_name string, run_id string, status string, rows_copied bigint, run_time timestamp"
 
 

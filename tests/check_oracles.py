@@ -16,7 +16,7 @@ from tests.compare import connect, difference  # noqa: E402
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:] or list(entry.queries())
-    spark = build_session("oracle-check", "local[8]", spark__ui__enabled="false", spark__driver__memory="8g")
+    spark = build_session("oracle-check", "local[8]", spark__ui__enabled="false", spark__driver__memory="8g", **dict(a.split("=") for a in os.environ.get("CHECK_CONF", "").split()))
     spark.sparkContext.setLogLevel("ERROR")
     con, oracle, bad = connect(folder), entry.oracle_sql(), 0
     for name in chosen:

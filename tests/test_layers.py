@@ -125,7 +125,8 @@ def test_jobs_end_to_end(spark, folder, layout):
         frame = spark.createDataFrame(data, schema)
         frame.write.option("header", "true").option("nullValue", "NULL").csv(f"{bronze}/{name}/2024/02/01")
     for _ in range(2):
-        jobs.bronze_to_silver(spark, bronze, silver_base, RUN, AS_OF, layout=layout, buckets=4)
+        measures = jobs.bronze_to_silver(spark, bronze, silver_base, RUN, AS_OF, layout=layout, buckets=4)
+        assert measures["patients"] == {"rows": 6, "patient_id": 1, "date_of_birth": 0, "admission_date": 1}
     assert tables.read_table(spark, f"{silver_base}/patients").count() == 3
     written = jobs.silver_to_gold(spark, silver_base, gold_base, RUN, AS_OF)
     assert written == {"dim_patient": 3, "fact_admissions": 4, "agg_hospital_metrics": 1, "agg_disease_burden": 1, "agg_financial_summary": 3}

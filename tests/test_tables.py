@@ -111,6 +111,15 @@ def test_run_log_appends(spark, folder):
     assert rows(spark.read.parquet(folder + "/log").select("run_id", "status", "rows_copied")) == [("r1", "Succeeded", 5), ("r2", "Failed", None)]
 
 
+def test_failed_copy_is_logged_too(spark, folder):
+    at = dt.datetime(2024, 1, 1, 12)
+    broken = spark.range(3).select(F.raise_error(F.lit("source broke")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="source broke"):
+        tables.logged_copy(broken, folder + "/t", folder + "/log", "ehr", "r1", at)
+    assert tables.logged_copy(spark.range(3), folder + "/t", folder + "/log", "ehr", "r2", at) == 3
+    assert rows(spark.read.parquet(folder + "/log").select("status", "rows_copied")) == [("Failed", None), ("Succeeded", 3)]
+
+
 def _write(path, text):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as out:
