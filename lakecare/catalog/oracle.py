@@ -441,7 +441,7 @@ FINAL: dict[str, str] = {
     "copy_consistency": """
         SELECT 'patients' AS table_name, count(*) AS rows_read, count(*) AS rows_written, TRUE AS consistent FROM raw_patients
         UNION ALL SELECT 'claims', count(*), count(*), TRUE FROM raw_claims""",
-    "pipeline_run_log": """
+    "copy_run_log": """
         SELECT 'ehr_ingestion' AS pipeline_name, 'run-1' AS run_id, 'Succeeded' AS status, count(*) AS rows_copied FROM raw_patients
         UNION ALL SELECT 'vitals_ingestion', 'run-2', 'Succeeded', count(*) FROM vitals""",
     "typed_landing": """
@@ -451,7 +451,7 @@ FINAL: dict[str, str] = {
         FROM raw_patients""",
     "partitioned_overwrite": "SELECT claim_id, total_amount, claim_type, claim_status FROM claims",
     "clustered_rewrite": "SELECT claim_id, patient_id, total_amount FROM claims",
-    "medallion_pipeline": "SELECT * FROM dashboard",
+    "layered_jobs_dashboard": "SELECT * FROM dashboard",
     "vitals_tumbling": _windows("5 minutes", "patient_id, device_id, ward_id"),
     "vitals_hourly_by_ward": _windows("1 hour", "ward_id"),
     "vitals_right_closed": _windows("5 minutes", "patient_id, device_id, ward_id", " - INTERVAL 1 MICROSECOND"),

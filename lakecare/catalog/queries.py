@@ -16,7 +16,7 @@ from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.merge import merge_upsert
 from lakecare.operators.quality import date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
 from lakecare.plans import gold, jobs, serving, silver
-from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD, VITALS_EVENT
+from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, VITALS_EVENT
 from lakecare.session import scratch_path, stage, streaming_session
 from lakecare.sinks import tables
 from lakecare.sources import batch, control, retail
@@ -517,7 +517,7 @@ def copy_consistency(lake: Lake) -> DataFrame:
 
 
 @query
-def pipeline_run_log(lake: Lake) -> DataFrame:
+def copy_run_log(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "logged")
     at = datetime.fromisoformat(AS_OF)
     tables.logged_copy(lake.raw_patients, f"{base}/patients", f"{base}/log", "ehr_ingestion", "run-1", at)
@@ -553,9 +553,9 @@ def clustered_rewrite(lake: Lake) -> DataFrame:
 
 
 @query
-def medallion_pipeline(lake: Lake) -> DataFrame:
+def layered_jobs_dashboard(lake: Lake) -> DataFrame:
     """Landed Parquet, both jobs, and the dashboard over the written gold tables."""
-    base = scratch_path(lake.spark, "pipeline")
+    base = scratch_path(lake.spark, "layers")
     day = run_date_folder(RUN_DATE)
     dated = lake.raw_patients.where(rules.date_shaped(F.col("admission_date")))
     unique_rows = dedupe_latest(dated, ["patient_id"], ["last_modified_date"], PATIENT_TIES)
