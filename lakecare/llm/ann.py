@@ -266,8 +266,11 @@ def nearest(
                 near = (gap * gap).sum(1) <= stop * row.reach**2
                 near &= np.isfinite(low[:, 0])
                 near[row.leaf] = False
-                to = np.flatnonzero(near)
-                yield pd.DataFrame({"leaf": to, "query_id": row.query_id, "vector": [row.vector] * len(to), "reach": row.reach})
+                if near.any():
+                    to = np.flatnonzero(near)
+                    yield pd.DataFrame(
+                        {"leaf": to, "query_id": row.query_id, "vector": [row.vector] * len(to), "reach": row.reach}
+                    )
 
     found = first.select("query_id", "vec_id", "score")
     if leaves > 1:

@@ -98,7 +98,7 @@ class LanguageModel:
         best = losses.argmin(1)
         ranked = np.sort(losses, 1)
         chances = np.exp(ranked[:, :1] - losses)
-        score = 1 / chances.sum(1)
+        score = np.round(1 / chances.sum(1), 9)  # sums may differ in the last bit from batch to batch
         if len(self.languages) == 1:
             return best, score, np.zeros(len(best), bool)
         close = (ranked[:, 1] - ranked[:, 0]) < CLOSE * (ranked[:, 1] + ranked[:, 0])
