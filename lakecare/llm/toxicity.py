@@ -32,7 +32,7 @@ OFFSETS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 LONGEST, STEP = 24, 12
 LANDMARKS = 256
 #: Labelled rows of each class that the fit looks at.
-TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
+TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
 EDGE = 1
 
 
@@ -110,7 +110,7 @@ class ToxicityModel:
     bias: float
     judge: np.ndarray  # weights of the features of a text, and an offset
 
-    def raw(self, words: list[str], step: int = 200_000) -> np.ndarray:
+    def raw(self, words: list[str], step: int = 50_000) -> np.ndarray:
         out = []
         for i in range(0, len(words), step):
             part = words[i : i + step]
@@ -213,19 +213,15 @@ def fit(words: list[str], bags: list[Bag], rounds: int = 3, seed: int = 5) -> To
 def fit_units(words: list[str], bags: list[Bag], rounds: int, seed: int) -> tuple[np.ndarray, float]:
     random = np.random.default_rng(seed)
     held = np.zeros((2, len(words)))  # how many texts of each class hold a unit
-    owner, key, value = subsequences(words)
-    order = np.argsort(owner, kind="stable")
-    ends = np.searchsorted(owner[order], np.arange(len(words) + 1))
-    key_of = key[order]
     seen = np.zeros((2, 1 << TABLE_BITS), np.float32)
     for bag in bags:
         held[bag.toxic, bag.units] += 1
-        seen[bag.toxic, np.unique(np.concatenate([key_of[ends[w] : ends[w + 1]] for w in bag.units]))] += 1
+        seen[bag.toxic, np.unique(subsequences([words[w] for w in bag.units])[1])] += 1
     count = [sum(b.toxic == c for b in bags) for c in (0, 1)]
     # first guess: units whose subsequences are much more frequent among toxic texts
     odds = np.log((seen[1] + 0.5) / (count[1] + 1)) - np.log((seen[0] + 0.5) / (count[0] + 1))
     odds[seen.sum(0) < min(3, 1 + count[1] // 8)] = 0
-    scores = np.bincount(owner, odds[key] * value, minlength=len(words))
+    scores = ToxicityModel(odds, 0.0, np.zeros(0)).raw(words)
     clean_words = np.flatnonzero(held[0])
     table, bias = np.zeros(1 << TABLE_BITS, np.float32), 0.0
     for step in range(rounds):
@@ -317,7 +313,9 @@ def train(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = C
     rows = sample.mapInArrow(bags, "toxic int, words array<string>, times array<int>").limit(most).toArrow().to_pylist()
     number: dict[str, int] = {}
     bags_of = []
-    for row in sorted(rows, key=lambda r: (r["toxic"], sorted(r["words"]))):
+    rows.sort(key=lambda r: (r["toxic"], sorted(r["words"])), reverse=True)
+    while rows:
+        row = rows.pop()
         found = sorted((w, n) for w, n in zip(row["words"], row["times"], strict=True) if len(w) > 1)
         if found:
             units = np.array([number.setdefault(w, len(number)) for w, _ in found])
