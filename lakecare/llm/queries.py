@@ -58,7 +58,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held = remainder("doc_id", TOXIC_FOLDS) == TOXIC_HELD
     labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    model = toxicity.train(docs.where(~held).join(labels.where(~held), "doc_id"))
+    model = toxicity.train(docs.where(~held), labels.where(~held))
     return toxicity.score(docs.select("doc_id", held.alias("held_out"), "text"), model)
 
 

@@ -275,20 +275,30 @@ def fit_judge(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> ToxicityModel | None:
-    """A model from ``labelled(doc_id, text, toxic)``; None unless both classes occur.
-
-    The fit looks at ``toxic_rows`` and ``clean_rows`` labelled rows, taken by hash (never more
-    than twice as many), with their distinct units.
+def train(
+    documents: DataFrame,
+    labels: DataFrame | None = None,
+    toxic_rows: int = TOXIC_ROWS,
+    clean_rows: int = CLEAN_ROWS,
+) -> ToxicityModel | None:
+    """A model from ``documents(doc_id, text)`` and ``labels(doc_id, toxic)``; None unless both classes occur.
+
+    Without ``labels`` the documents hold ``toxic`` themselves. The fit looks at ``toxic_rows``
+    and ``clean_rows`` labelled rows, taken by a hash of the id (never at more than twice as
+    many), with their distinct units. The chosen labels are that few, so they are broadcast and
+    no text moves.
     """
-    ship(labelled.sparkSession)
-    usable = labelled.where("toxic IN (0, 1) AND text IS NOT NULL AND text <> ''")
+    ship(documents.sparkSession)
+    usable = (documents if labels is None else labels).where("toxic IN (0, 1)").select("doc_id", "toxic")
     counts = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    most = 2 * (toxic_rows + clean_rows)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     rate = F.when(F.col("toxic") == 1, toxic_rows / counts[1]).otherwise(clean_rows / counts[0])
-    sample = usable.where(place < rate).select(F.col("toxic").cast("int").alias("toxic"), "text")
+    chosen = usable.where(place < rate).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct().limit(most)
+    texts = documents.select("doc_id", "text").where("text IS NOT NULL AND text <> ''")
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,7 +319,6 @@ def train(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = C
                     ["toxic", "words", "times"],
                 )
 
-    most = 2 * (toxic_rows + clean_rows)
     rows = sample.mapInArrow(bags, "toxic int, words array<string>, times array<int>").limit(most).toArrow().to_pylist()
     number: dict[str, int] = {}
     bags_of = []
