@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakecare.llm.common import whole_text
+from lakecare.llm.urlfilter import ENTRIES_PER_BLOCK, MOST_BLOCKS, bloom_filter, flag_possible
 from lakecare.session import scratch_path, stage
 
 PLACEHOLDER = "[secret]"
@@ -190,7 +191,10 @@ def redact(documents: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) ->
     """
     spark = documents.sparkSession
     scan(documents.select("doc_id", "text"), ledger, rules)
-    found = spans_by_blob(spark, ledger, rules).withColumnRenamed("blob", "_blob")
+    found = stage(
+        spans_by_blob(spark, ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")),
+        "secret-spans",
+    )
     text = F.col("text")
 
     def step(done: Column, span: Column) -> Column:
@@ -201,9 +205,14 @@ def redact(documents: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) ->
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     stitched = F.aggregate("_spans", start, step, lambda d: F.concat(d["out"], text.substr(d["at"] + 1, F.length(text))))
-    joined = documents.withColumn("_blob", blob_of(whole_text())).join(
-        found.withColumnRenamed("spans", "_spans"), "_blob", "left"
+    # a bounded filter of the blobs with findings spares all other texts the join
+    blocks = max(1, min(MOST_BLOCKS, -(-found.count() // ENTRIES_PER_BLOCK)))
+    bloom = bloom_filter(found.select(F.col("_blob").alias("key")), blocks)
+    marked = flag_possible(documents.withColumn("_blob", blob_of(whole_text())), "_blob", bloom, blocks, "_may")
+    joined = marked.where("_may").join(found, "_blob", "left")
+    kept = F.col("_spans").isNull()
+    length = F.when(kept, F.col("n_chars")).otherwise(F.length("_stitched").cast("long"))
+    changed = joined.withColumn("_stitched", F.when(~kept, stitched)).withColumns(
+        {"text": F.when(kept, text).otherwise(F.col("_stitched")), "n_chars": length}
     )
-    changed = joined.withColumn("text", F.when(F.col("_spans").isNull(), text).otherwise(stitched))
-    length = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return changed.withColumn("n_chars", length).select(*documents.columns)
+    return marked.where("NOT _may").select(*documents.columns).unionByName(changed.select(*documents.columns))

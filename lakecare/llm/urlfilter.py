@@ -60,14 +60,20 @@ def bloom_filter(keys: DataFrame, blocks: int) -> DataFrame:
     return keys.groupBy(_block(F.col("key"), blocks).alias("block")).agg(*words)
 
 
-def possible(keys: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
-    """Rows of ``keys(key, ...)`` that the filter may hold; none that it holds is lost."""
+def flag_possible(rows: DataFrame, key: str, bloom: DataFrame, blocks: int, flag: str) -> DataFrame:
+    """``rows`` with a boolean: whether the filter may hold ``key``; false only if it surely does not."""
     hit = reduce(
         lambda a, b: a & b,
-        [F.call_function("getbit", F.col(f"w{i}"), _bit(F.col("key"), i)) == 1 for i in range(WORDS)],
+        [F.call_function("getbit", F.col(f"w{i}"), _bit(F.col(key), i)) == 1 for i in range(WORDS)],
     )
-    probed = keys.withColumn("block", _block(F.col("key"), blocks))
-    return probed.join(F.broadcast(bloom), "block").where(hit).select(*keys.columns)
+    probed = rows.withColumn("block", _block(F.col(key), blocks))
+    joined = probed.join(F.broadcast(bloom), "block", "left")
+    return joined.withColumn(flag, F.coalesce(hit, F.lit(False))).select(*rows.columns, flag)
+
+
+def possible(keys: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
+    """Rows of ``keys(key, ...)`` that the filter may hold; none that it holds is lost."""
+    return flag_possible(keys, "key", bloom, blocks, "_may").where("_may").drop("_may")
 
 
 def suffixes(host: Column) -> Column:
