@@ -30,7 +30,7 @@ END_OF_DOCUMENT = 2
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 GROUP_TOKENS = 1 << 20
 #: Known chunks of text a worker keeps; beyond it the memory starts afresh.
-CHUNK_MEMORY = 1_000_000
+CHUNK_MEMORY = 350_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
