@@ -11,14 +11,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _decimal(value: Column, scale: int) -> Column:
-    return value.cast(f"decimal(18,{scale})")
+#: Decimals kept while summing; parts of a cent add up before anything is rounded.
+WIDE = 8
+
+
+def _decimal(value: Column) -> Column:
+    return value.cast(f"decimal(28,{WIDE})")
 
 
 def exact_sum(value: Column, scale: int = 2, digits: int | None = None) -> Column:
-    """Sum of a double column that carries ``scale`` decimals, rounded half up, as double."""
-    total = F.sum(_decimal(value, scale))
-    return (total if digits is None else F.round(total, digits)).cast("double")
+    """Sum of a double column, rounded once at the end, half up, to ``digits`` (or ``scale``) decimals, as double."""
+    return F.round(F.sum(_decimal(value)), scale if digits is None else digits).cast("double")
 
 
 def exact_avg(value: Column, scale: int, digits: int | None = None, factor: int = 1) -> Column:
@@ -27,7 +30,7 @@ def exact_avg(value: Column, scale: int, digits: int | None = None, factor: int
     Both sides of the division are whole numbers, so it rounds once and a tie stays a tie.
     """
     unit = 10**scale
-    units = (F.sum(_decimal(value, scale)) * F.lit(unit * factor)).cast("double")
+    units = (F.sum(_decimal(value)) * F.lit(unit * factor)).cast("double")
     average = F.try_divide(units, F.count(value) * F.lit(unit))
     return average if digits is None else F.round(average, digits)
 

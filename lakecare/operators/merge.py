@@ -24,14 +24,17 @@ def merge_upsert(
 ) -> DataFrame:
     """Matched keys take all columns of ``source``; unmatched source rows are added.
 
-    With ``newer_by`` a source row only replaces a target row that is not newer. The
+    With ``newer_by`` a source row only replaces a target row that is not newer: keys are
+    unique on both sides, so one full outer join reads each input once. Without it the
     anti-join keeps the target side splittable when a key is hot, and a small source is
     broadcast by the optimizer once its size is known.
     """
     keys = list(keys)
     if newer_by is not None:
-        held = target.select(*keys, F.col(newer_by).alias("_held"))
-        stale = F.coalesce(F.col("_held") > F.col(newer_by), F.lit(False))
-        source = source.join(held, keys, "left").where(~stale).drop("_held")
+        old = target.select(F.struct(*target.columns).alias("_old"), *keys)
+        new = source.select(F.struct(*target.columns).alias("_new"), *keys)
+        stale = F.coalesce(F.col(f"_old.{newer_by}") > F.col(f"_new.{newer_by}"), F.lit(False))
+        picked = F.when(F.col("_new").isNull() | stale, F.col("_old")).otherwise(F.col("_new"))
+        return old.join(new, keys, "full").select(picked.alias("_row")).select("_row.*")
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source)

@@ -40,8 +40,12 @@ _METRIC_ROLLUP = (
 
 
 def external_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A gold table over its files, with the declared column names and types."""
-    return bind_by_name(spark.read.parquet(current_path(spark, f"{base}/{name}")), GOLD[name])
+    """A gold table over its files, with the declared column names and types; a missing column raises."""
+    files = spark.read.parquet(current_path(spark, f"{base}/{name}"))
+    missing = set(GOLD[name].names) - set(files.columns)
+    if missing:
+        raise ValueError(f"{name} lacks {', '.join(sorted(missing))}")
+    return bind_by_name(files, GOLD[name])
 
 
 def register_gold(spark: SparkSession, base: str) -> dict[str, DataFrame]:

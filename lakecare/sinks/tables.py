@@ -8,6 +8,7 @@ writer at a time.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
@@ -27,6 +28,10 @@ class CopyMismatchError(RuntimeError):
     """What was read back differs from what was written."""
 
 
+class TableLayoutError(ValueError):
+    """A table exists in another layout, or with other buckets or keys."""
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -49,18 +54,33 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) or n.startswith(f"{BUCKET}=") for n in names if n != "versions")
 
 
-def current_path(spark: SparkSession, path: str) -> str:
+def _pointer(spark: SparkSession, path: str) -> str | None:
     pointer = f"{path}/{POINTER}"
-    if not path_exists(spark, pointer):
-        return path
-    name = spark.read.text(pointer).first()[0]
-    return f"{path}/versions/{name}"
+    return spark.read.text(pointer, wholetext=True).first()[0] if path_exists(spark, pointer) else None
+
+
+def _bucket_map(pointer: str | None) -> dict | None:
+    """Bucket count, keys and live folder per bucket of a bucketed table; None for any other."""
+    return json.loads(pointer) if pointer and pointer.startswith("{") else None
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    name = _pointer(spark, path)
+    return path if name is None else f"{path}/versions/{name}"
+
+
+def _bucket_folders(path: str, live: dict, buckets: Sequence[int] | None = None) -> list[str]:
+    chosen = live["folders"] if buckets is None else [str(b) for b in buckets if str(b) in live["folders"]]
+    return [f"{path}/versions/{live['folders'][b]}/{BUCKET}={b}" for b in chosen]
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The live version, or the folder itself for a plain table."""
-    df = spark.read.format(fmt).load(current_path(spark, path))
-    return df.drop(BUCKET)
+    """The live version, the live folder of each bucket, or the folder itself for a plain table."""
+    pointer = _pointer(spark, path)
+    live = _bucket_map(pointer)
+    if live is not None:
+        return spark.read.schema(live["schema"]).parquet(*_bucket_folders(path, live))
+    return spark.read.format(fmt).load(path if pointer is None else f"{path}/versions/{pointer}")
 
 
 def overwrite_table(
@@ -92,10 +112,18 @@ def overwrite_table(
 
 
 def _switch(spark: SparkSession, path: str, name: str) -> None:
+    """Write the pointer beside the live one and rename it over: readers see the old or the new, never part of one."""
     fs, pointer = _fs(spark, f"{path}/{POINTER}")
-    out = fs.create(pointer, True)
+    _, side = _fs(spark, f"{path}/_{POINTER}-{uuid.uuid4().hex}")
+    out = fs.create(side, True)
     out.write(bytearray(name.encode()))
     out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    renames = spark.sparkContext._gateway.new_array(options, 1)
+    renames[0] = options.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        side, pointer, renames
+    )
 
 
 def publish_version(df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = True) -> str:
@@ -119,6 +147,8 @@ def upsert_table(
 
     A repeated source key raises; ``unique`` skips that check for a deduplicated source.
     """
+    if _bucket_map(_pointer(spark, path)) is not None:
+        raise TableLayoutError(f"{path} holds a bucketed table")
     if not unique:
         require_unique(source, keys)
     if table_exists(spark, path):
@@ -137,23 +167,52 @@ def upsert_bucketed(
 ) -> None:
     """Upsert that rewrites only the key buckets the source touches.
 
-    The bucket is a hash of the key, so a row never changes its bucket and a bucket never
-    empties; rewriting the touched ones in place is enough. Repeating a failed run gives
-    the same table. ``buckets`` must stay the same for the life of a table; choose it so
-    that a bucket holds a few gigabytes, since that is the unit rewritten.
+    The touched buckets are written as new folders and the pointer, which names one folder per
+    bucket, is switched last: a run stopped at any step leaves the old table, and repeating it
+    gives the same result. The bucket count is stored with the table; another one, another key
+    or a versioned table at the path is refused. Old folders stay until ``vacuum``. Choose
+    ``buckets`` so that one holds a few gigabytes, since that is the unit rewritten.
     """
+    pointer = _pointer(spark, path)
+    live = _bucket_map(pointer)
+    if pointer is not None and live is None:
+        raise TableLayoutError(f"{path} holds a versioned table")
+    if live is not None and (live["buckets"], live["keys"]) != (buckets, list(keys)):
+        raise TableLayoutError(f"{path} has {live['buckets']} buckets of {live['keys']}")
     if not unique:
         require_unique(source, keys)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    incoming = source.withColumn(BUCKET, bucket)
-    if table_exists(spark, path):
-        target = spark.read.parquet(path)
-        incoming = stage(incoming, "upsert")
-        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most ``buckets`` values
-        if not touched:
-            return
-        incoming = merge_upsert(target.where(F.col(BUCKET).isin(touched)), incoming, keys, newer_by)
-    overwrite_table(incoming, path, [BUCKET], dynamic=True)
+    incoming = stage(source.withColumn(BUCKET, bucket), "upsert")
+    touched = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())  # at most ``buckets`` values
+    folders = dict(live["folders"]) if live else {}
+    held = _bucket_folders(path, live, touched) if live else []
+    if held:
+        target = spark.read.schema(live["schema"]).parquet(*held).withColumn(BUCKET, bucket)
+        incoming = merge_upsert(target, incoming, keys, newer_by)
+    if live is not None and not touched:
+        return
+    name = uuid.uuid4().hex
+    overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET])
+    folders |= {str(b): name for b in touched}
+    # what bound the rows stays readable by name: plain column declarations
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+    _switch(
+        spark, path, json.dumps({"buckets": buckets, "keys": list(keys), "schema": schema, "folders": folders})
+    )
+
+
+def vacuum(spark: SparkSession, path: str) -> list[str]:
+    """Delete the version folders that the pointer no longer names; run it when no reader holds an older one."""
+    pointer = _pointer(spark, path)
+    if pointer is None:
+        return []
+    live = _bucket_map(pointer)
+    named = set(live["folders"].values()) if live else {pointer}
+    fs, folder = _fs(spark, f"{path}/versions")
+    gone = [e.getPath() for e in fs.listStatus(folder) if e.getPath().getName() not in named]
+    for old in gone:
+        fs.delete(old, True)
+    return sorted(old.getName() for old in gone)
 
 
 def cluster_table(spark: SparkSession, path: str, columns: Sequence[str], files: int, partition_by: Sequence[str] = ()) -> str:

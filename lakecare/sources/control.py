@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakecare.functions import rules
 from lakecare.sinks.tables import read_table, table_exists, upsert_table
 
 
@@ -18,10 +19,13 @@ def watermark_lookup(control: DataFrame, table_name: str) -> DataFrame:
 def batch_watermark(batch: DataFrame, table_name: str, column: str) -> DataFrame:
     """The control row after a batch: the newest row time it holds, not the time of the run.
 
-    The run time would skip rows stamped before it but committed after the extract.
+    The run time would skip rows stamped before it but committed after the extract. Text
+    that is no date never becomes the watermark.
     """
+    text = dict(batch.dtypes)[column] == "string"
+    readable = rules.parsed_date(F.col(column)).isNotNull() if text else F.col(column).isNotNull()
     return (
-        batch.agg(F.max(column).alias("last_modified_date"))
+        batch.where(readable).agg(F.max(column).alias("last_modified_date"))
         .where("last_modified_date is not null")
         .select(F.lit(table_name).alias("table_name"), "last_modified_date")
     )

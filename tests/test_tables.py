@@ -69,12 +69,43 @@ def test_bucketed_upsert_leaves_untouched_buckets_alone(spark, folder):
     tables.upsert_bucketed(spark, path, spark.range(100).withColumn("v", F.lit(0)), ["id"], buckets=8)
     before = {f: os.path.getmtime(f) for f in _data_files(path)}
     tables.upsert_bucketed(spark, path, spark.range(1).withColumn("v", F.lit(1)), ["id"], buckets=8)
-    kept = [f for f in _data_files(path) if f in before]
-    assert len({os.path.dirname(f) for f in before}) - len({os.path.dirname(f) for f in kept}) == 1
+    assert all(os.path.getmtime(f) == t for f, t in before.items())
+    assert len({os.path.dirname(f) for f in _data_files(path)}) - len({os.path.dirname(f) for f in before}) == 1
     assert tables.read_table(spark, path).where("v = 1").count() == 1
     assert tables.read_table(spark, path).count() == 100
 
 
+def test_bucketed_upsert_survives_a_stop_and_refuses_other_buckets(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    tables.upsert_bucketed(spark, path, spark.range(100).withColumn("v", F.lit(0)), ["id"], buckets=8)
+    batch_rows = spark.range(90, 120).withColumn("v", F.lit(1))
+    with monkeypatch.context() as stopped:
+        stopped.setattr(tables, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            tables.upsert_bucketed(spark, path, batch_rows, ["id"], buckets=8)
+    assert tables.read_table(spark, path).where("v = 0").count() == 100
+    tables.upsert_bucketed(spark, path, batch_rows, ["id"], buckets=8)
+    assert tables.read_table(spark, path).count() == 120 and tables.read_table(spark, path).where("v = 1").count() == 30
+    for other in (lambda: tables.upsert_bucketed(spark, path, batch_rows, ["id"], buckets=16), lambda: tables.upsert_table(spark, path, batch_rows, ["id"])):
+        with pytest.raises(tables.TableLayoutError):
+            other()
+    assert len(tables.vacuum(spark, path)) == 2
+    assert tables.read_table(spark, path).count() == 120
+
+
+def test_a_moved_null_changes_the_checksum(spark):
+    sums = [
+        spark.createDataFrame([row], "a string, b string").agg(*tables.content_measures(["a", "b"])).first()["checksum"]
+        for row in ((None, "x"), ("x", None))
+    ]
+    assert sums[0] != sums[1]
+
+
+def test_unreadable_text_is_no_watermark(spark, folder):
+    control.store_watermark(spark, folder + "/w", spark.createDataFrame([("2024-01-03",), ("unknown",)], "m string"), "t", "m")
+    assert control.load_watermark(spark, folder + "/w", "t") == "2024-01-03"
+
+
 def _data_files(path):
     return [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
 
