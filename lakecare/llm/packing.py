@@ -31,6 +31,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 GROUP_TOKENS = 1 << 20
 #: Known chunks of text a worker keeps; beyond it the memory starts afresh.
 CHUNK_MEMORY = 350_000
+#: Texts tokenised together; what a batch needs besides its texts grows with them.
+TEXTS_AT_ONCE = 500
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
@@ -247,8 +249,8 @@ def pack_documents(
         fields = [("doc_id", pa.int64())] + [(n, pa.int64()) for n in "start length ids_crc32 doc_tokens".split()]
         schema = pa.schema([*fields, ("sequence_id", pa.int64()), ("offset", pa.int64()), ("cost", pa.float64())])
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
                 ids, begins = tokenizer.encode(part.column(1))
                 for k, doc_id in enumerate(part.column(0).to_pylist()):
                     packer.add(doc_id, np.append(ids[begins[k] : begins[k + 1]], np.uint32(END_OF_DOCUMENT)))
