@@ -281,6 +281,19 @@ def _windows(width: str, keys: str, back: str = "") -> str:
         FROM vitals GROUP BY {keys}, time_bucket(INTERVAL '{width}', event_time{back})"""
 
 
+_VISITS = """
+    SELECT patient_id, admission_date, record_id, ward,
+           row_number() OVER (PARTITION BY patient_id ORDER BY admission_date, record_id) AS visit_num,
+           lead(admission_date) OVER (PARTITION BY patient_id ORDER BY admission_date, record_id) AS next_admission_date
+    FROM admissions WHERE readmission_flag"""
+
+
+def _by_hour(windows: str) -> str:
+    return f"""
+        SELECT *, strftime(window_end_time, '%Y-%m-%d') AS date, CAST(hour(window_end_time) AS INTEGER) AS hour
+        FROM ({windows})"""
+
+
 _ALERTS = """
     SELECT patient_id, device_id, ward_id, heart_rate, spo2, blood_pressure_systolic, temperature, event_time,
            CASE WHEN heart_rate > 150 OR heart_rate < 40 THEN 'CRITICAL_HR' WHEN spo2 < 90 THEN 'CRITICAL_SPO2'
@@ -362,6 +375,7 @@ FINAL: dict[str, str] = {
                diagnosis_description, risk_score, risk_category, readmission_flag, {AS_OF_TS} AS _processed_at
         FROM risk QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY admission_date DESC, record_id) = 1""",
     "fact_admissions": "SELECT * FROM fact",
+    "fact_admissions_hot_keys": "SELECT * FROM fact",
     "agg_hospital_metrics": "SELECT * FROM metrics",
     "hospital_metrics_by_admission": _hospital_metrics("admissions"),
     "agg_disease_burden": f"""
@@ -414,11 +428,8 @@ FINAL: dict[str, str] = {
                {rounded(f"sum({units('coalesce(total_amount, 0)', 2)})", 'count(*) * 100', 0)} AS avg_claim_per_patient,
                count(DISTINCT attending_physician) AS physician_count
         FROM fact GROUP BY ward""",
-    "visit_sequence": """
-        SELECT patient_id, admission_date, record_id, ward,
-               row_number() OVER (PARTITION BY patient_id ORDER BY admission_date, record_id) AS visit_num,
-               lead(admission_date) OVER (PARTITION BY patient_id ORDER BY admission_date, record_id) AS next_admission_date
-        FROM admissions WHERE readmission_flag""",
+    "visit_sequence": _VISITS,
+    "visit_sequence_hot_keys": _VISITS,
     "readmission_root_cause": _root_cause("fact", "claim_id"),
     "readmission_root_cause_by_admission": _root_cause("admissions", "record_id"),
     "external_gold_tables": """
@@ -456,13 +467,30 @@ FINAL: dict[str, str] = {
     "vitals_hourly_by_ward": _windows("1 hour", "ward_id"),
     "vitals_right_closed": _windows("5 minutes", "patient_id, device_id, ward_id", " - INTERVAL 1 MICROSECOND"),
     "vitals_alerts": _ALERTS,
-    "vitals_windows_stream": f"""
-        SELECT *, strftime(window_end_time, '%Y-%m-%d') AS date, CAST(hour(window_end_time) AS INTEGER) AS hour
-        FROM ({_windows('5 minutes', 'patient_id, device_id, ward_id')})
-        WHERE window_end_time <= (SELECT max(event_time) FROM vitals) - INTERVAL 5 MINUTE""",
+    "vitals_windows_stream": _by_hour(_windows("5 minutes", "patient_id, device_id, ward_id")),
+    "vitals_windows_stream_right_closed": _by_hour(
+        _windows("5 minutes", "patient_id, device_id, ward_id", " - INTERVAL 1 MICROSECOND")
+    ),
+    "rejected_messages": """
+        SELECT event_id, CASE WHEN event_id % 5 = 1 THEN 'unparsed' WHEN event_id % 11 = 1 THEN 'empty' ELSE 'no_event_time' END AS reason
+        FROM events WHERE event_id % 5 = 1 OR event_id % 11 = 1 OR event_id % 7 = 1""",
     "vitals_alerts_stream": _ALERTS,
     "ml_features": "SELECT * FROM features",
     "label_distribution": "SELECT label, count(*) AS rows FROM features GROUP BY label",
+    "category_index": " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS feature, {c} AS category, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS position
+        FROM features WHERE {c} IS NOT NULL GROUP BY {c}"""
+        for c in ("gender", "age_group", "ward", "los_bucket", "claim_type")
+    ),
+    "scaler_summary": " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS feature, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS deviation
+        FROM features"""
+        for c in (
+            "age", "length_of_stay", "total_amount", "coverage_ratio", "risk_score", "admission_month", "is_weekend_admission",
+        )
+    ),
     "risk_band_distribution": """
         SELECT CASE WHEN risk_score / 100 >= 0.7 THEN 'Very High' WHEN risk_score / 100 >= 0.5 THEN 'High'
                     WHEN risk_score / 100 >= 0.3 THEN 'Medium' ELSE 'Low' END AS risk_band, count(*) AS patients
@@ -483,6 +511,8 @@ def _needed(text: str) -> list[str]:
 
 def _assemble(final: str) -> str:
     parts = [f"{name} AS ({CTES[name]}\n)" for name in _needed(final)]
+    if not parts:
+        return final.lstrip()
     head = "WITH " + ",\n".join(parts)
     tail = final.lstrip()
     return f"{head}\n{tail}" if not tail.startswith(",") else f"{head}{tail}"

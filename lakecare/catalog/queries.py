@@ -418,6 +418,22 @@ def visit_sequence(lake: Lake) -> DataFrame:
     return serving.visit_sequence(visits, PATIENT_TIES).drop("readmission_flag")
 
 
+#: Rows a key may have before the hot-key plans treat it apart; low, so that these queries take them.
+HOT_HERE = 3
+
+
+@query
+def fact_admissions_hot_keys(lake: Lake) -> DataFrame:
+    claims = stage(lake.claims.select(*gold.CLAIM_SIDE), "claims")
+    return gold.fact_admissions(lake.patients, claims, HOT_HERE)
+
+
+@query
+def visit_sequence_hot_keys(lake: Lake) -> DataFrame:
+    visits = lake.admissions.select("patient_id", "admission_date", "record_id", "ward", "readmission_flag")
+    return serving.visit_sequence(visits, PATIENT_TIES, HOT_HERE).drop("readmission_flag")
+
+
 @query
 def readmission_root_cause(lake: Lake) -> DataFrame:
     fact = lake.fact.withColumn("visit_key", F.coalesce("claim_id", F.lit("")))
@@ -601,15 +617,18 @@ def _vitals_stream(lake: Lake) -> DataFrame:
     return retail.vitals_of(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
-@query
-def vitals_windows_stream(lake: Lake) -> DataFrame:
-    """Both stream queries over one source; the window files are returned."""
+def _streamed_windows(lake: Lake, closed: str) -> DataFrame:
+    """Both stream queries over one source, to their end; all window files are returned."""
     base = scratch_path(lake.spark, "stream")
-    for running in streams.start_vitals(
-        _vitals_stream(lake), f"{base}/windows", f"{base}/alerts", f"{base}/checkpoints", once=True
-    ):
-        running.awaitTermination()
-    windows = lake.spark.read.parquet(f"{base}/windows")
+    source = _vitals_stream(lake)
+    running = streams.start_vitals(
+        source, f"{base}/windows", f"{base}/alerts", f"{base}/checkpoints", once=True, closed=closed
+    )
+    for each in running:
+        each.awaitTermination()
+    events = lake.vitals.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    streams.write_open_windows(events, running[0], f"{base}/open", closed=closed)
+    windows = lake.spark.read.parquet(f"{base}/windows").unionByName(lake.spark.read.parquet(f"{base}/open"))
     return windows.withColumns(
         {
             "window_end_time": F.col("window_end_time").cast("timestamp_ntz"),
@@ -619,6 +638,27 @@ def vitals_windows_stream(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def vitals_windows_stream(lake: Lake) -> DataFrame:
+    return _streamed_windows(lake, "left")
+
+
+@query
+def vitals_windows_stream_right_closed(lake: Lake) -> DataFrame:
+    return _streamed_windows(lake, "right")
+
+
+@query
+def rejected_messages(lake: Lake) -> DataFrame:
+    """Event messages of which some are cut short, some lack the time, some are missing."""
+    key = F.col("event_id")
+    timed = F.when(key % 7 != 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    whole = F.to_json(F.struct(F.concat(F.lit("P-"), "user_id").alias("patient_id"), timed.alias("event_time")))
+    cut = F.when(key % 5 == 1, whole.substr(F.lit(1), F.length(whole) - 1)).when(key % 11 != 1, whole)
+    messages = retail.table(lake.spark, lake.folder, "events").select("event_id", cut.alias("value"))
+    return streams.rejected_messages(messages, "value").select("event_id", "reason")
+
+
 @query
 def vitals_alerts_stream(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "stream")
@@ -641,6 +681,17 @@ def label_distribution(lake: Lake) -> DataFrame:
     return readmission.label_distribution(lake.features)
 
 
+@query
+def category_index(lake: Lake) -> DataFrame:
+    return readmission.category_index(stage(lake.features, "features"))
+
+
+@query
+def scaler_summary(lake: Lake) -> DataFrame:
+    found = readmission.scaler_summary(stage(lake.features, "features"))
+    return found.select("feature", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
+
+
 @query
 def risk_band_distribution(lake: Lake) -> DataFrame:
     scored = lake.dim.select(rules.risk_band(F.col("risk_score") / 100).alias("risk_band"))

@@ -86,6 +86,28 @@ def feature_stages(drop_leaky: bool = False) -> list:
     ]
 
 
+def category_index(features: DataFrame) -> DataFrame:
+    """Position of each category in the fitted indexers: most frequent first, ties by name; nulls have none.
+
+    The rows come from the fitted indexer, one per known category.
+    """
+    indexer = feature_stages()[0].fit(features)
+    rows = [
+        (name, category, at)
+        for name, known in zip(CATEGORIES, indexer.labelsArray, strict=True)
+        for at, category in enumerate(known)
+    ]
+    return features.sparkSession.createDataFrame(rows, "feature string, category string, position long")
+
+
+def scaler_summary(features: DataFrame) -> DataFrame:
+    """Mean and sample deviation by which the fitted scaler shifts and divides each numeric input."""
+    assembler = VectorAssembler(inputCols=list(NUMBERS), outputCol="features_raw", handleInvalid="keep")
+    scaler = feature_stages()[-1].fit(assembler.transform(features))
+    rows = [(c, float(m), float(d)) for c, m, d in zip(NUMBERS, scaler.mean, scaler.std, strict=True)]
+    return features.sparkSession.createDataFrame(rows, "feature string, mean double, deviation double")
+
+
 @dataclass
 class Trained:
     model: PipelineModel

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakecare.schemas import VITALS_EVENT
 
@@ -44,15 +44,40 @@ def read_vitals_kafka(
 
 
 def decode_vitals(messages: DataFrame, column: str, schema: StructType = VITALS_EVENT) -> DataFrame:
-    """UTF-8 JSON to columns; a message that does not parse gives nulls and is dropped."""
+    """UTF-8 JSON to columns. Messages without an event time are left to ``rejected_messages``."""
     parsed = messages.select(F.from_json(F.col(column).cast("string"), schema).alias("v"))
     return parsed.select("v.*").where(F.col("event_time").isNotNull())
 
 
+def rejected_messages(messages: DataFrame, column: str, schema: StructType = VITALS_EVENT) -> DataFrame:
+    """The messages that ``decode_vitals`` passes over, all their columns and a ``reason``.
+
+    ``empty`` messages are null, ``unparsed`` ones no JSON of the layout, ``no_event_time`` ones
+    lack the time alone. Takes batch and streaming frames, so a stream can keep them in files.
+    """
+    layout = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    text = F.col(column).cast("string")
+    parsed = F.from_json(text, layout, {"columnNameOfCorruptRecord": "_corrupt"})
+    reason = (
+        F.when(text.isNull(), "empty").when(F.col("_parsed._corrupt").isNotNull(), "unparsed").otherwise("no_event_time")
+    )
+    return (
+        messages.withColumn("_parsed", parsed)
+        .where(F.col("_parsed.event_time").isNull())
+        .withColumn("reason", reason)
+        .drop("_parsed")
+    )
+
+
 def read_vitals_files(
     spark: SparkSession, path: str, schema: StructType = VITALS_EVENT, fmt: str = "json", files_per_batch: int | None = None
 ) -> DataFrame:
-    """Stream of files landing in a folder."""
+    """Stream of files landing in a folder.
+
+    ``files_per_batch`` is for files that arrive in order of event time. In a backfill of older
+    files the order in which they are read would decide which rows are late: leave it out, so
+    that one batch reads them all.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -127,6 +152,17 @@ def _begin(writer, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _by_hour(windows: DataFrame, files_per_hour: int | None) -> DataFrame:
+    files = files_per_hour or max(1, windows.sparkSession.sparkContext.defaultParallelism // 8)
+    placed = windows.withColumns(
+        {
+            "date": F.date_format("window_end_time", "yyyy-MM-dd"),
+            "hour": F.date_format("window_end_time", "HH"),
+        }
+    )
+    return placed.repartition("date", "hour", F.pmod(F.xxhash64(*windows.columns), F.lit(files)))
+
+
 def start_window_files(
     windows: DataFrame, path: str, checkpoint: str, once: bool = False, files_per_hour: int | None = None
 ) -> StreamingQuery:
@@ -135,15 +171,8 @@ def start_window_files(
     Rows of an hour are gathered into ``files_per_hour`` files by key hash, instead of one
     file per hour from every task; the default grows with the cores of the cluster.
     """
-    files = files_per_hour or max(1, windows.sparkSession.sparkContext.defaultParallelism // 8)
-    placed = windows.withColumns(
-        {
-            "date": F.date_format("window_end_time", "yyyy-MM-dd"),
-            "hour": F.date_format("window_end_time", "HH"),
-        }
-    )
     writer = (
-        placed.repartition("date", "hour", F.pmod(F.xxhash64(*windows.columns), F.lit(files)))
+        _by_hour(windows, files_per_hour)
         .writeStream.format("parquet")
         .partitionBy("date", "hour")
         .outputMode("append")
@@ -181,17 +210,59 @@ def start_alert_topic(alerts: DataFrame, servers: str, topic: str, checkpoint: s
 
 
 def start_vitals(
-    source: DataFrame, windows_path: str, alerts_path: str, checkpoints: str, late_by: str = LATE_BY, once: bool = False
+    source: DataFrame,
+    windows_path: str,
+    alerts_path: str,
+    checkpoints: str,
+    late_by: str = LATE_BY,
+    once: bool = False,
+    width: str = WINDOW,
+    keys: tuple[str, ...] = WINDOW_KEYS,
+    closed: str = "left",
+    files_per_hour: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """One source, two independent queries: window files and alerts."""
+    windows = vitals_windows(source, width, keys, closed, late_by)
     return (
-        start_window_files(vitals_windows(source, late_by=late_by), windows_path, f"{checkpoints}/windows", once),
+        start_window_files(windows, windows_path, f"{checkpoints}/windows", once, files_per_hour),
         start_alert_files(vitals_alerts(source), alerts_path, f"{checkpoints}/alerts", once),
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark so far, over the retained progress reports."""
+def write_open_windows(
+    events: DataFrame,
+    query: StreamingQuery,
+    path: str,
+    width: str = WINDOW,
+    keys: tuple[str, ...] = WINDOW_KEYS,
+    closed: str = "left",
+    files_per_hour: int | None = None,
+) -> None:
+    """The windows that a finished run holds open, so that nothing it read is missing.
+
+    A stream writes a window once the watermark has passed its end. ``events`` is the source of
+    ``query`` as a batch; only what lies behind the last watermark is read. The folder is
+    replaced by each run, as a later run closes these windows itself.
+    """
+    progress = query.lastProgress
+    reached = ((progress and progress["eventTime"]) or {}).get("watermark", "1970-01-01T00:00:00.000Z")
+    watermark = F.to_timestamp(F.lit(reached))
+    recent = events.where(F.col("event_time") >= watermark - F.expr(f"INTERVAL {width}"))
+    still_open = vitals_windows(recent, width, keys, closed).where(F.col("window_end_time") > watermark)
+    _by_hour(still_open, files_per_hour).write.mode("overwrite").partitionBy("date", "hour").parquet(path)
+
+
+def late_rows(events: DataFrame, windows: DataFrame) -> int:
+    """Rows that came too late for their window: readings in ``events`` less those in ``windows``.
+
+    ``windows`` are all windows of the same events, the open ones too.
+    """
+    counted = windows.agg(F.coalesce(F.sum("reading_count"), F.lit(0))).first()[0]
+    return events.where(F.col("event_time").isNotNull()).count() - counted
+
+
+def late_groups(query: StreamingQuery) -> int:
+    """Partial groups (not rows) dropped behind the watermark, over the retained progress reports."""
     return sum(
         state.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress

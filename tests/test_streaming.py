@@ -65,7 +65,11 @@ def test_stream_equals_batch_and_fans_out(spark, session, folder):
     assert rows(windows.select(*batch.columns)) == rows(batch)
     alerts = vitals.vitals_alerts(everything)
     assert rows(spark.read.parquet(f"{folder}/a").select(*alerts.columns)) == rows(alerts)
-    assert vitals.late_rows(queries[0]) == 0
+    assert vitals.late_groups(queries[0]) == 0
+    vitals.write_open_windows(everything, queries[0], f"{folder}/open")
+    complete = windows.unionByName(spark.read.parquet(f"{folder}/open"))
+    assert rows(complete.select(*batch.columns)) == rows(vitals.vitals_windows(everything))
+    assert vitals.late_rows(everything, complete) == 0
 
 
 def test_late_rows_are_dropped_and_counted(spark, session, folder):
@@ -78,9 +82,13 @@ def test_late_rows_are_dropped_and_counted(spark, session, folder):
 
     land(src, "a", [event(0), event(60)])
     run()
-    land(src, "b", [event(1), event(62), event(180)])
+    land(src, "b", [event(1), event(2), event(3), event(62), event(180)])
     again = run()  # restarts from the checkpoint
-    assert vitals.late_rows(again) == 1
+    everything = spark.read.schema(VITALS_EVENT).json(src)
+    vitals.write_open_windows(everything, again, f"{folder}/open")
+    written = spark.read.parquet(paths[0]).unionByName(spark.read.parquet(f"{folder}/open"))
+    assert vitals.late_rows(everything, written) == 3  # one group of the late rows was dropped
+    assert vitals.late_groups(again) == 1
     counts = {(r.window_end_time.hour, r.window_end_time.minute): r.reading_count for r in spark.read.parquet(paths[0]).collect()}
     assert counts == {(10, 5): 1, (11, 5): 2}
 
@@ -112,6 +120,14 @@ def test_messages_decode(spark):
     assert [tuple(g) for g in got] == [("P1", 1705312800, 98.0)]
 
 
+def test_passed_over_messages_are_kept_with_a_reason(spark):
+    timeless = {k: v for k, v in event(0).items() if k != "event_time"}
+    values = [json.dumps(event(0)), "junk", json.dumps(timeless), None]
+    raw = spark.createDataFrame([(i, v and bytearray(v.encode())) for i, v in enumerate(values)], "at int, value binary")
+    got = vitals.rejected_messages(raw, "value").select("at", "reason")
+    assert rows(got) == [(1, "unparsed"), (2, "no_event_time"), (3, "empty")]
+
+
 def test_landing_converts_each_file_once_and_archives(spark, folder):
     head = ",".join(BRONZE_PATIENTS.names)
 
