@@ -167,6 +167,8 @@ def test_split_is_stable_and_complete(features):
 
 def test_model_trains_scores_and_reloads(spark, features, folder):
     trained = readmission.train(features, grid_trees=(5,), grid_depth=(3, 4), folds=2, drop_leaky=True)
+    few = readmission.train(features, grid_trees=(2,), grid_depth=(3,), folds=2, drop_leaky=True, fit_rows=40).params
+    assert 0 < int(few["train_size"]) < int(trained.params["train_size"]) and few["test_size"] == trained.params["test_size"]
     assert set(trained.metrics) == {"auc_roc", "auc_pr", "accuracy", "f1_score"} and trained.metrics["auc_roc"] > 0.9
     assert len(trained.fold_auc) == 2
     scored = readmission.score(trained.model, features, AS_OF)
