@@ -433,9 +433,11 @@ FINAL: dict[str, str] = {
     "readmission_root_cause": _root_cause("fact", "claim_id"),
     "readmission_root_cause_by_admission": _root_cause("admissions", "record_id"),
     "external_gold_tables": """
-        SELECT h.hospital_id, h.admissions, c.claims
+        SELECT h.hospital_id, h.admissions, c.claims, d.patients, f.claimed
         FROM (SELECT hospital_id, count(*) AS admissions FROM patients GROUP BY hospital_id) h
-        LEFT JOIN (SELECT hospital_id, count(*) AS claims FROM claims GROUP BY hospital_id) c ON c.hospital_id = h.hospital_id""",
+        LEFT JOIN (SELECT hospital_id, count(*) AS claims FROM claims GROUP BY hospital_id) c ON c.hospital_id = h.hospital_id
+        LEFT JOIN (SELECT hospital_id, count(*) AS patients FROM dim GROUP BY hospital_id) d ON d.hospital_id = h.hospital_id
+        LEFT JOIN (SELECT hospital_id, count(claim_id) AS claimed FROM fact GROUP BY hospital_id) f ON f.hospital_id = h.hospital_id""",
     "external_gold_views": """
         SELECT h.hospital_id, h.admission_year, h.admission_month, h.total_admissions, h.total_revenue_inr, r.patients, r.high_risk
         FROM dashboard h LEFT JOIN (
@@ -462,6 +464,19 @@ FINAL: dict[str, str] = {
         FROM raw_patients""",
     "partitioned_overwrite": "SELECT claim_id, total_amount, claim_type, claim_status FROM claims",
     "clustered_rewrite": "SELECT claim_id, patient_id, total_amount FROM claims",
+    "clustered_file_ranges": """
+        SELECT 'claim_id' AS column_name, count(DISTINCT claim_id) AS distinct_values, TRUE AS narrow FROM claims
+        UNION ALL SELECT 'patient_id', count(DISTINCT patient_id), TRUE FROM claims""",
+    "ingest_job_control": """
+        SELECT 'EHR_Patients' AS pipeline_name, 'run-1' AS run_id, 'Succeeded' AS status,
+               count(*) FILTER (WHERE last_modified_date < '2001-06-01') AS rows_copied, max(last_modified_date) AS last_modified_date
+        FROM raw_patients
+        UNION ALL SELECT 'EHR_Patients', 'run-2', 'Succeeded', count(*), max(last_modified_date) FROM raw_patients
+        WHERE last_modified_date >= (SELECT max(last_modified_date) FROM raw_patients WHERE last_modified_date < '2001-06-01')""",
+    "ml_predictions_table": """
+        SELECT label, count(*) AS rows, count(*) AS sound, count(*) AS banded, count(DISTINCT patient_id) AS patients
+        FROM features GROUP BY label""",
+    "run_metrics_log": "SELECT 'run-1' AS run_id, 3 AS params, 4 AS metrics, count(*) AS rows, 4 AS sound FROM features",
     "layered_jobs_dashboard": "SELECT * FROM dashboard",
     "vitals_tumbling": _windows("5 minutes", "patient_id, device_id, ward_id"),
     "vitals_hourly_by_ward": _windows("1 hour", "ward_id"),

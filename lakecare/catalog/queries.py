@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakecare.functions import rules
 from lakecare.functions.clock import run_date_folder
@@ -15,8 +17,8 @@ from lakecare.ml import readmission
 from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.merge import merge_upsert
 from lakecare.operators.quality import date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
-from lakecare.plans import gold, jobs, serving, silver
-from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, VITALS_EVENT
+from lakecare.plans import gold, ingest, jobs, serving, silver
+from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD_PARTITIONS, VITALS_EVENT
 from lakecare.session import scratch_path, stage, streaming_session
 from lakecare.sinks import tables
 from lakecare.sources import batch, control, retail
@@ -134,6 +136,21 @@ def watermark_update(lake: Lake) -> DataFrame:
     return tables.read_table(lake.spark, path)
 
 
+@query
+def ingest_job_control(lake: Lake) -> DataFrame:
+    """Two runs of the ingestion job, the second over rows that came later: run log and final watermark."""
+    base, at = scratch_path(lake.spark, "ingest"), datetime.fromisoformat(AS_OF)
+    source = lake.raw_patients.select(*EXTRACT_COLUMNS, "record_id")
+    for run_id, rows in (("run-1", source.where(F.col("last_modified_date") < EXTRACT_SINCE)), ("run-2", source)):
+        ingest.ingest_increment(
+            lake.spark, rows, "EHR_Patients", "last_modified_date", f"{base}/bronze", f"{base}/control", f"{base}/log",
+            RUN_DATE, run_id, at, {"record_id": "bigint"},
+        )
+    log = lake.spark.read.schema(tables.RUN_LOG).parquet(f"{base}/log").drop("run_time")
+    moved = tables.read_table(lake.spark, f"{base}/control")
+    return log.join(moved, F.col("pipeline_name") == F.col("table_name")).drop("table_name")
+
+
 @query
 def csv_bronze_scan(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "bronze-csv")
@@ -160,9 +177,9 @@ def json_landed_scan(lake: Lake) -> DataFrame:
 def csv_landing_stream(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "landing")
     _write_csv(lake.raw_patients.select(*BRONZE_PATIENTS.names), f"{base}/in")
-    landing.land_csv_files(
+    landing.land_and_archive(
         lake.spark, f"{base}/in", BRONZE_PATIENTS, f"{base}/bronze", RUN_DATE, f"{base}/checkpoint", f"{base}/archive"
-    ).awaitTermination()
+    )
     return lake.spark.read.parquet(f"{base}/bronze/{run_date_folder(RUN_DATE)}").drop("_source_file")
 
 
@@ -447,18 +464,24 @@ def readmission_root_cause_by_admission(lake: Lake) -> DataFrame:
 
 @query
 def external_gold_tables(lake: Lake) -> DataFrame:
-    base = scratch_path(lake.spark, "gold")
-    tables.overwrite_table(lake.metrics, f"{base}/agg_hospital_metrics")
-    tables.overwrite_table(lake.financial, f"{base}/agg_financial_summary")
-    names = serving.create_gold_tables(lake.spark, base, "lakecare_gold", ["agg_hospital_metrics", "agg_financial_summary"])
-    metrics, money = (lake.spark.table(name) for name in names)
-    return metrics.groupBy("hospital_id").agg(F.sum("total_admissions").alias("admissions")).join(
-        money.groupBy("hospital_id").agg(F.sum("claim_count").alias("claims")), "hospital_id", "left"
+    """Counts per hospital from all four catalog tables, which are dropped again."""
+    base = _stored_gold(lake)
+    database = f"lakecare_gold_{uuid.uuid4().hex}"
+    dim, fact, metrics, money = (
+        lake.spark.table(name) for name in serving.create_gold_tables(lake.spark, base, database)
+    )
+    counted = (
+        metrics.groupBy("hospital_id").agg(F.sum("total_admissions").alias("admissions"))
+        .join(money.groupBy("hospital_id").agg(F.sum("claim_count").alias("claims")), "hospital_id", "left")
+        .join(dim.groupBy("hospital_id").agg(F.count(F.lit(1)).alias("patients")), "hospital_id", "left")
+        .join(fact.groupBy("hospital_id").agg(F.count("claim_id").alias("claimed")), "hospital_id", "left")
     )
+    found = stage(counted, "gold-counts")
+    lake.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
 
 
-@query
-def external_gold_views(lake: Lake) -> DataFrame:
+def _stored_gold(lake: Lake) -> str:
     base = scratch_path(lake.spark, "gold")
     frames = {
         "dim_patient": lake.dim,
@@ -467,9 +490,13 @@ def external_gold_views(lake: Lake) -> DataFrame:
         "agg_financial_summary": lake.financial,
     }
     for name, frame in frames.items():
-        partition_by = ("admission_year", "admission_month") if name == "fact_admissions" else ()
-        tables.overwrite_table(frame, f"{base}/{name}", partition_by)
-    serving.register_views(serving.register_gold(lake.spark, base))
+        tables.overwrite_table(frame, f"{base}/{name}", GOLD_PARTITIONS.get(name, ()))
+    return base
+
+
+@query
+def external_gold_views(lake: Lake) -> DataFrame:
+    serving.register_views(serving.register_gold(lake.spark, _stored_gold(lake)))
     return lake.spark.sql(
         """
         SELECT d.hospital_id, d.admission_year, d.admission_month, d.total_admissions, d.total_revenue_inr,
@@ -568,23 +595,53 @@ def clustered_rewrite(lake: Lake) -> DataFrame:
     return tables.read_table(lake.spark, path)
 
 
+@query
+def clustered_file_ranges(lake: Lake) -> DataFrame:
+    """How many of the files a search for one value must open, on average, in each clustered column.
+
+    Reported as whether both columns stay well below all files.
+    """
+    path, files = scratch_path(lake.spark, "clustered"), 16
+    tables.publish_version(lake.claims.select("claim_id", "patient_id", "total_amount"), path)
+    tables.cluster_table(lake.spark, path, ["claim_id", "patient_id"], files=files)
+    rows = stage(tables.read_table(lake.spark, path).withColumn("file", F.col("_metadata.file_path")), "located")
+    parts = []
+    for column in ("claim_id", "patient_id"):
+        ranges = rows.groupBy("file").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+        values = rows.select(column).distinct().join(F.broadcast(ranges), F.col(column).between(F.col("low"), F.col("high")))
+        opened = values.groupBy(column).agg(F.count(F.lit(1)).alias("opened"))
+        parts.append(
+            opened.agg(
+                F.lit(column).alias("column_name"), F.count(F.lit(1)).alias("distinct_values"),
+                (F.avg("opened") < files / 2).alias("narrow"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def layered_jobs_dashboard(lake: Lake) -> DataFrame:
-    """Landed Parquet, both jobs, and the dashboard over the written gold tables."""
-    base = scratch_path(lake.spark, "layers")
-    day = run_date_folder(RUN_DATE)
-    dated = lake.raw_patients.where(rules.date_shaped(F.col("admission_date")))
-    unique_rows = dedupe_latest(dated, ["patient_id"], ["last_modified_date"], PATIENT_TIES)
-    unique_rows.write.parquet(f"{base}/bronze/patients/{day}")
-    ties = [F.desc_nulls_last("total_amount"), "record_id"]
-    dated = lake.raw_claims.withColumn("processed_date", F.nullif("processed_date", F.lit("NULL")))
-    dedupe_latest(dated, ["claim_id"], silver.CLAIM_NEWEST, ties).write.parquet(f"{base}/bronze/claims/{day}")
+    """Landed raw Parquet, both jobs, and the dashboard over the written gold tables."""
+    base = _ran_layers(lake)
+    serving.register_views(serving.register_gold(lake.spark, f"{base}/gold"))
+    return lake.spark.table(serving.VIEWS[0])
+
+
+def _ran_layers(lake: Lake) -> str:
+    """Both jobs over the raw tables as they are: repeated keys, malformed dates and the word NULL."""
+    base, day = scratch_path(lake.spark, "layers"), run_date_folder(RUN_DATE)
+    lake.raw_patients.write.parquet(f"{base}/bronze/patients/{day}")
+    lake.raw_claims.write.parquet(f"{base}/bronze/claims/{day}")
     jobs.bronze_to_silver(
-        lake.spark, f"{base}/bronze", f"{base}/silver", RUN_DATE, AS_OF, fmt="parquet", buckets=16
+        lake.spark, f"{base}/bronze", f"{base}/silver", RUN_DATE, AS_OF, fmt="parquet", buckets=16,
+        ties={"patients": PATIENT_TIES, "claims": [F.desc_nulls_last("total_amount"), "record_id"]},
+        schemas={
+            "patients": StructType([*BRONZE_PATIENTS.fields, StructField("record_id", LongType())]),
+            "claims": StructType([*BRONZE_CLAIMS.fields, StructField("record_id", StringType())]),
+        },
     )
     jobs.silver_to_gold(lake.spark, f"{base}/silver", f"{base}/gold", RUN_DATE, AS_OF)
-    serving.register_views(serving.register_gold(lake.spark, f"{base}/gold"))
-    return lake.spark.table(serving.VIEWS[0])
+    return base
 
 
 # Streaming ----------------------------------------------------------------------------
@@ -713,3 +770,38 @@ def readmission_model_report(lake: Lake) -> DataFrame:
     )
     run = readmission.metrics_table(lake.spark, trained, "run-1", AS_OF)
     return run.where("kind = 'metric'").select("kind", "name", "value").unionByName(weights)
+
+
+def _scored(lake: Lake) -> str:
+    """The scoring job over the gold tables, with a small grid."""
+    base = _ran_layers(lake)
+    jobs.score_readmissions(
+        lake.spark, f"{base}/gold", f"{base}/model", "run-1", AS_OF, grid_trees=(10,), grid_depth=(4,), folds=2
+    )
+    return f"{base}/gold"
+
+
+@query
+def ml_predictions_table(lake: Lake) -> DataFrame:
+    """The stored predictions per label: rows, and of them those with a sound probability and its band."""
+    scored = tables.read_table(lake.spark, f"{_scored(lake)}/{jobs.PREDICTIONS}")
+    chance = F.col("readmission_probability")
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(chance.between(0, 1)).alias("sound"),
+        F.count_if(F.col("risk_band") == rules.risk_band(chance)).alias("banded"),
+        F.countDistinct("patient_id").alias("patients"),
+    )
+
+
+@query
+def run_metrics_log(lake: Lake) -> DataFrame:
+    """The logged run: its parameters and metrics, and the rows they were reckoned on."""
+    log = lake.spark.read.parquet(f"{_scored(lake)}/{jobs.RUN_METRICS}")
+    sizes = F.when(F.col("name").isin("train_size", "test_size"), F.col("text_value").cast("bigint"))
+    return log.groupBy("run_id").agg(
+        F.count_if(F.col("kind") == "param").alias("params"),
+        F.count_if(F.col("kind") == "metric").alias("metrics"),
+        F.sum(sizes).alias("rows"),
+        F.count_if(F.col("value").between(0, 1)).alias("sound"),
+    )

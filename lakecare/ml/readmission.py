@@ -128,22 +128,17 @@ def train(
 ) -> Trained:
     """Grid search by cross-validated ROC area, then the best forest on all training rows.
 
-    The feature stages are fitted once on the training rows; the forest splits on ranges
-    of values, so refitting the scaler per fold would not change its choices. Folds come
-    from a row hash. The prepared vectors are cached on disk and memory for the grid.
-    The fit takes about ``fit_rows`` training rows, chosen by a row hash; testing and scoring
-    take all rows.
+    The feature stages are fitted anew with every forest, so no fold that validates one has
+    shaped its inputs. Folds come from a row hash. The narrow input rows, not the vectors made
+    of them, are cached on disk and memory for the grid. The fit takes about ``fit_rows``
+    training rows, chosen by a row hash; testing and scoring take all rows.
     """
     training, testing = split(features)
     share = fit_rows / max(1, training.count())
     if share < 1:
         training = training.where(hash_bucket(1 << 30, *ROW_KEY, salt=SEED + 2) < int(share * (1 << 30)))
-    prepared = Pipeline(stages=feature_stages(drop_leaky)).fit(training)
-    vectors = (
-        prepared.transform(training)
-        .select("features", "label", hash_bucket(folds, *ROW_KEY, salt=SEED + 1).alias("fold"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    fold = hash_bucket(folds, *ROW_KEY, salt=SEED + 1).alias("fold")
+    rows = training.select(*CATEGORIES, *NUMBERS, "label", fold).persist(StorageLevel.MEMORY_AND_DISK)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF_ROWS, seed=SEED
     )
@@ -151,14 +146,16 @@ def train(
         ParamGridBuilder().addGrid(forest.numTrees, list(grid_trees)).addGrid(forest.maxDepth, list(grid_depth)).build()
     )
     roc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    whole = Pipeline(stages=[*feature_stages(drop_leaky), forest])
     search = CrossValidator(
-        estimator=forest, estimatorParamMaps=grid, evaluator=roc, numFolds=folds, seed=SEED, parallelism=parallelism, foldCol="fold"
-    ).fit(vectors)
-    counts = {"train_size": vectors.count(), "test_size": testing.count()}
-    vectors.unpersist()
+        estimator=whole, estimatorParamMaps=grid, evaluator=roc, numFolds=folds, seed=SEED, parallelism=parallelism, foldCol="fold"
+    ).fit(rows)
+    counts = {"train_size": rows.count(), "test_size": testing.count()}
+    rows.unpersist()
     # A fitted forest refers to its session through the training summary, which cannot be
     # sent to tasks once a row count was observed in that session; a copy has no summary.
-    model = PipelineModel(stages=[*prepared.stages, search.bestModel.copy()])
+    *prepared, best = search.bestModel.stages
+    model = PipelineModel(stages=[*prepared, best.copy()])
     params = {"model_type": "RandomForestClassifier", **{k: str(v) for k, v in counts.items()}}
     return Trained(model, evaluate(model, testing), params, list(search.avgMetrics))
 

@@ -11,7 +11,7 @@ from lakecare.functions.clock import AsOf, as_of_date, as_of_timestamp
 from lakecare.functions.exact import exact_avg, exact_millions, exact_sum, share_pct
 from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.sequence import number_in_order
-from lakecare.schemas import GOLD
+from lakecare.schemas import GOLD, GOLD_PARTITIONS
 from lakecare.sinks.tables import current_path
 from lakecare.sources.batch import bind_by_name
 
@@ -61,15 +61,18 @@ def register_gold(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 def create_gold_tables(
     spark: SparkSession, base: str, database: str = "gold", names: Sequence[str] = tuple(GOLD)
 ) -> list[str]:
-    """Catalog tables over the gold files; dropping one leaves its files alone."""
+    """Catalog tables over the gold files, with declared types; dropping one leaves its files alone."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
     made = []
     for name in names:
         full = f"{database}.{name}{EXTERNAL_SUFFIX}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         path = current_path(spark, f"{base}/{name}")
-        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
-        if any(c.isPartition for c in spark.catalog.listColumns(full)):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in GOLD[name].fields)
+        partitions = GOLD_PARTITIONS.get(name, ())
+        parted = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet {parted} LOCATION '{path}'")
+        if partitions:
             spark.catalog.recoverPartitions(full)
         made.append(full)
     return made

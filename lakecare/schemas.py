@@ -72,3 +72,5 @@ GOLD = {
         "high_value_claims bigint, _processed_at timestamp, _run_date date"
     ),
 }
+# Partition columns of the stored gold tables.
+GOLD_PARTITIONS = {"fact_admissions": ("admission_year", "admission_month")}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +44,36 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+#: Paths handed out inside the innermost ``owned_scratch`` block.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/lakecare-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lakecare-scratch/{name}-{uuid.uuid4().hex}"
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block, however it ends, all that was staged inside it.
+
+    Results that are to outlive the block must be written or collected within it.
+    """
+    token = _OWNED.set(paths := [])
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            delete_path(spark, path)
 
 
 def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:

@@ -12,6 +12,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from math import ceil, sqrt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from lakecare.session import stage
 
 POINTER = "CURRENT"
 BUCKET = "_bucket"
+SLICE = "_slice"
 
 
 class CopyMismatchError(RuntimeError):
@@ -91,16 +93,20 @@ def overwrite_table(
     fmt: str = "parquet",
     gather: bool = True,
     count_into: Observation | None = None,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Replace the table and its schema, or with ``dynamic`` only the partitions present in ``df``.
 
     Rows are gathered per partition value before the write, so a partition is a few
     files instead of one per task; the rebalance hint splits a partition that is too big.
+    ``sort_by`` orders the rows of each file, so that its row groups hold narrow ranges.
     ``count_into`` receives ``rows``, counted in the writing tasks themselves, where a
     repeated task is counted once.
     """
     if partition_by and gather:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     if count_into is not None:
         df = df.observe(count_into, F.count(F.lit(1)).alias("rows"))
     writer = df.write.format(fmt).mode("overwrite")
@@ -126,10 +132,12 @@ def _switch(spark: SparkSession, path: str, name: str) -> None:
     )
 
 
-def publish_version(df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = True) -> str:
+def publish_version(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = True, sort_by: Sequence[str] = ()
+) -> str:
     """Write a new version beside the live one, then switch the pointer to it."""
-    name = f"{datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-    overwrite_table(df, f"{path}/versions/{name}", partition_by, gather=gather)
+    name = uuid.uuid4().hex
+    overwrite_table(df, f"{path}/versions/{name}", partition_by, gather=gather, sort_by=sort_by)
     _switch(df.sparkSession, path, name)
     return name
 
@@ -142,6 +150,7 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     newer_by: str | None = None,
     unique: bool = False,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Create the table on the first run, merge by key afterwards (new version each time).
 
@@ -153,7 +162,7 @@ def upsert_table(
         require_unique(source, keys)
     if table_exists(spark, path):
         source = merge_upsert(read_table(spark, path), source, keys, newer_by)
-    publish_version(source, path, partition_by)
+    publish_version(source, path, partition_by, sort_by=sort_by)
 
 
 def upsert_bucketed(
@@ -164,8 +173,9 @@ def upsert_bucketed(
     buckets: int = 256,
     newer_by: str | None = None,
     unique: bool = False,
+    sort_by: Sequence[str] = (),
 ) -> None:
-    """Upsert that rewrites only the key buckets the source touches.
+    """Upsert that rewrites only the key buckets the source touches, each sorted by ``sort_by``.
 
     The touched buckets are written as new folders and the pointer, which names one folder per
     bucket, is switched last: a run stopped at any step leaves the old table, and repeating it
@@ -192,7 +202,7 @@ def upsert_bucketed(
     if live is not None and not touched:
         return
     name = uuid.uuid4().hex
-    overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET])
+    overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET], sort_by=sort_by)
     folders |= {str(b): name for b in touched}
     # what bound the rows stays readable by name: plain column declarations
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
@@ -216,10 +226,23 @@ def vacuum(spark: SparkSession, path: str) -> list[str]:
 
 
 def cluster_table(spark: SparkSession, path: str, columns: Sequence[str], files: int, partition_by: Sequence[str] = ()) -> str:
-    """Rewrite a table so that files hold narrow ranges of ``columns`` (min/max file skipping)."""
+    """Rewrite a table so that files hold narrow ranges of each of ``columns`` (min/max file skipping).
+
+    Coarse ranges of the first column come first, about the square root of ``files``; inside
+    each the rows are cut into ranges of the other columns. Values too frequent for one file
+    are cut on by the other columns and a hash of the row.
+    """
+    pointer = _pointer(spark, path)
+    if _bucket_map(pointer) is not None:
+        raise TableLayoutError(f"{path} is bucketed; sort its buckets as they are written")
     live = read_table(spark, path)
-    layout = [*partition_by, *columns]
-    clustered = live.repartitionByRange(files, *layout).sortWithinPartitions(*layout)
+    first, *others = columns
+    row = F.xxhash64(*live.columns)
+    coarse = ceil(sqrt(files)) if others else files
+    sliced = live.repartitionByRange(coarse, *partition_by, *columns, row).withColumn(SLICE, F.spark_partition_id())
+    if others:
+        sliced = sliced.repartitionByRange(files, SLICE, *partition_by, *others, first, row)
+    clustered = sliced.sortWithinPartitions(*partition_by, SLICE, *others, first).drop(SLICE)
     return publish_version(clustered, path, partition_by, gather=False)
 
 

@@ -64,9 +64,15 @@ def read_landed_json(
     )
 
 
-def incremental_filter(df: DataFrame, column: str, watermark: object | None) -> DataFrame:
-    """Rows past the watermark; no watermark yet means a full load."""
-    return df if watermark is None else df.where(F.col(column) > F.lit(watermark))
+def incremental_filter(df: DataFrame, column: str, watermark: object | None, inclusive: bool = False) -> DataFrame:
+    """Rows past the watermark; no watermark yet means a full load.
+
+    ``inclusive`` rereads rows at the watermark itself: where it is a day, more rows may have
+    been stamped with it after the last extract, and an upsert absorbs the repeated ones.
+    """
+    if watermark is None:
+        return df
+    return df.where(F.col(column) >= F.lit(watermark) if inclusive else F.col(column) > F.lit(watermark))
 
 
 def jdbc_options(

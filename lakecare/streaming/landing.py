@@ -17,14 +17,12 @@ def land_csv_files(
     bronze: str,
     run_date: AsOf,
     checkpoint: str,
-    archive: str | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Convert the CSV files not seen before to Parquet in the run-date folder, then stop.
 
     The checkpoint remembers finished files, so a rerun after a failure neither repeats
-    nor misses one. With ``archive`` a file is moved there after the batch that follows
-    its own has begun; the order is always copy, archive, remove.
+    nor misses one.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -34,8 +32,6 @@ def land_csv_files(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     rows = reader.csv(landing).withColumn("_source_file", F.col("_metadata.file_name"))
     return (
         rows.writeStream.format("parquet")
@@ -44,3 +40,33 @@ def land_csv_files(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def land_and_archive(
+    spark: SparkSession,
+    landing: str,
+    schema: StructType,
+    bronze: str,
+    run_date: AsOf,
+    checkpoint: str,
+    archive: str,
+    files_per_batch: int | None = None,
+) -> list[str]:
+    """``land_csv_files`` to its end, then move every file of this run to the archive; returns their names.
+
+    The files are listed before the run starts, and the run takes all that are there, so a file that
+    comes meanwhile waits for the next run. A run stopped before the move is mended by the next
+    one: its files are not converted again, but moved. Archived files lie in a folder per run date.
+    """
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    source = path_of(landing)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [e.getPath() for e in fs.listStatus(source) if e.isFile()]
+    waiting = [p for p in listed if not p.getName().startswith(("_", "."))]
+    land_csv_files(spark, landing, schema, bronze, run_date, checkpoint, files_per_batch).awaitTermination()
+    target = f"{archive}/{run_date_folder(run_date)}"
+    fs.mkdirs(path_of(target))
+    for path in waiting:
+        if not fs.rename(path, path_of(f"{target}/{path.getName()}")):
+            raise OSError(f"{path.getName()} could not be moved to {target}")
+    return sorted(p.getName() for p in waiting)

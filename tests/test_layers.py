@@ -137,6 +137,19 @@ def test_jobs_end_to_end(spark, folder, layout):
     assert spark.sql("SELECT count(*) AS n FROM vw_patient_risk_summary").first().n == 3
 
 
+def test_scoring_job_publishes_predictions_and_replaces_its_log_entries(spark, features, folder):
+    inputs = set(readmission.FACT_INPUTS)
+    features.select(*inputs).write.parquet(f"{folder}/gold/fact_admissions")
+    features.select("patient_id", *readmission.PERSON_INPUTS).distinct().write.parquet(f"{folder}/gold/dim_patient")
+    for _ in range(2):
+        metrics = jobs.score_readmissions(
+            spark, f"{folder}/gold", f"{folder}/model", "r1", AS_OF, grid_trees=(3,), grid_depth=(3,), folds=2
+        )
+    assert set(metrics) == {"auc_roc", "auc_pr", "accuracy", "f1_score"}
+    assert tables.read_table(spark, f"{folder}/gold/{jobs.PREDICTIONS}").count() == features.count()
+    assert spark.read.parquet(f"{folder}/gold/{jobs.RUN_METRICS}").count() == 7
+
+
 def test_unknown_source_is_refused(spark, folder):
     with pytest.raises(ValueError):
         jobs.bronze_to_silver(spark, folder, folder, RUN, AS_OF, source="public_health")

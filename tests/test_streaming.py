@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakecare.schemas import BRONZE_PATIENTS, VITALS_EVENT
 from lakecare.session import streaming_session
 from lakecare.streaming import vitals
-from lakecare.streaming.landing import land_csv_files
+from lakecare.streaming.landing import land_and_archive
 
 
 def rows(df):
@@ -137,13 +137,13 @@ def test_landing_converts_each_file_once_and_archives(spark, folder):
             out.write(f"{head}\n{patient}{',' * (len(BRONZE_PATIENTS.names) - 1)}\n")
 
     def run(day):
-        land_csv_files(spark, f"{folder}/in", BRONZE_PATIENTS, f"{folder}/bronze", day, f"{folder}/c", f"{folder}/archive", 1).awaitTermination()
+        return land_and_archive(spark, f"{folder}/in", BRONZE_PATIENTS, f"{folder}/bronze", day, f"{folder}/c", f"{folder}/archive", 1)
 
     drop("a", "P1")
     drop("b", "P2")
-    run("2024-01-05")
-    run("2024-01-05")
+    assert run("2024-01-05") == ["a.csv", "b.csv"]
+    assert run("2024-01-05") == []
     first = spark.read.parquet(f"{folder}/bronze/2024/01/05")
     assert rows(first.select("patient_id", "_source_file")) == [("P1", "a.csv"), ("P2", "b.csv")]
     archived = [f for _, _, fs in os.walk(f"{folder}/archive") for f in fs if f.endswith(".csv")]
-    assert len(archived) >= 1
+    assert sorted(archived) == ["a.csv", "b.csv"] and not os.listdir(f"{folder}/in")

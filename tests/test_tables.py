@@ -1,10 +1,14 @@
 import datetime as dt
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakecare import session
 from lakecare.operators.merge import DuplicateKeyError
+from lakecare.operators.quality import EmptySourceError
+from lakecare.plans import ingest
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS
 from lakecare.session import scratch_path, shared_folder
 from lakecare.sinks import tables
@@ -113,7 +117,7 @@ def _data_files(path):
 def test_clustered_files_hold_narrow_ranges(spark, folder):
     path = f"{folder}/t"
     tables.publish_version(spark.range(2000).withColumn("k", F.pmod(F.xxhash64("id"), F.lit(1000))).repartition(8), path)
-    tables.cluster_table(spark, path, ["k", "id"], files=4)
+    tables.cluster_table(spark, path, ["k"], files=4)
     per_file = (
         tables.read_table(spark, path).groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("lo").collect()
     )
@@ -202,3 +206,57 @@ def test_watermark_moves_with_the_data(spark, folder):
     assert control.load_watermark(spark, path, "t") == "2024-01-03"
     control.store_watermark(spark, path, spark.createDataFrame([("2024-02-01",)], layout), "t", "m")
     assert control.load_watermark(spark, path, "t") == "2024-02-01"
+
+
+def _run(spark, folder, source, run_id, **more):
+    return ingest.ingest_increment(
+        spark, source, "T", "m", f"{folder}/bronze", f"{folder}/control", f"{folder}/log", "2024-01-05", run_id,
+        datetime(2024, 1, 5), **more,
+    )
+
+
+def test_ingestion_moves_the_watermark_and_repeats_safely(spark, folder):
+    data = [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "unknown")]
+    source = spark.createDataFrame(data, "id string, m string")
+    assert _run(spark, folder, source, "r1", types={"id": "string"}) == 3
+    assert control.load_watermark(spark, f"{folder}/control", "T") == "2024-01-02"
+    more = source.unionByName(spark.createDataFrame([("d", "2024-01-02"), ("e", "2024-01-03")], "id string, m string"))
+    assert _run(spark, folder, more, "r2") == 4  # the newest day again, the row without a readable date, the new ones
+    assert control.load_watermark(spark, f"{folder}/control", "T") == "2024-01-03"
+    assert _run(spark, folder, more.limit(0), "r2") == 4  # a run that succeeded is not copied again
+    landed = spark.read.parquet(f"{folder}/bronze/T/2024/01/05")
+    assert landed.count() == 7 and {r.run_id for r in landed.select("run_id").distinct().collect()} == {"r1", "r2"}
+
+
+def test_ingestion_gate_logs_the_failure(spark, folder):
+    empty = spark.createDataFrame([], "id string, m string")
+    with pytest.raises(EmptySourceError):
+        _run(spark, folder, empty, "r1")
+    assert rows(spark.read.schema(tables.RUN_LOG).parquet(f"{folder}/log").select("run_id", "status", "rows_copied")) == [("r1", "Failed", 0)]
+    assert control.load_watermark(spark, f"{folder}/control", "T") is None
+    assert _run(spark, folder, empty, "r2", allow_empty=True) == 0
+
+
+def test_clustering_serves_both_columns_and_refuses_buckets(spark, folder):
+    wide = spark.range(20000).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).alias("b"))
+    hot = wide.withColumn("a", F.when(F.col("b") % 3 == 0, 7).otherwise(F.col("a")))  # a value in a third of all rows
+    tables.publish_version(hot, f"{folder}/t")
+    tables.cluster_table(spark, f"{folder}/t", ["a", "b"], files=16)
+    live = tables.read_table(spark, f"{folder}/t").withColumn("file", F.col("_metadata.file_path"))
+    spans = live.groupBy("file").agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for c in "ab" for f in (F.min, F.max)]).collect()
+    assert sum(s.n for s in spans) == 20000 and max(s.n for s in spans) < 3 * 20000 / len(spans)
+    for c in "ab":
+        assert sum(s[f"max_{c}"] - s[f"min_{c}"] for s in spans) / len(spans) < 600
+    tables.upsert_bucketed(spark, f"{folder}/u", hot.distinct(), ["a", "b"], buckets=2, sort_by=["b"])
+    with pytest.raises(tables.TableLayoutError):
+        tables.cluster_table(spark, f"{folder}/u", ["a"], files=2)
+
+
+def test_owned_scratch_is_deleted_at_the_end(spark):
+    kept = session.stage(spark.range(3), "kept")
+    with pytest.raises(RuntimeError), session.owned_scratch(spark):
+        inner = session.stage(spark.range(3), "inner").inputFiles()[0]
+        assert os.path.exists(inner.removeprefix("file://"))
+        raise RuntimeError
+    assert not os.path.exists(os.path.dirname(inner.removeprefix("file://")))
+    assert kept.count() == 3
