@@ -10,6 +10,7 @@ from lakecare.llm import (
     fingerprints,
     html_extract,
     langid,
+    merkle,
     mixing,
     packing,
     secret_scan,
@@ -21,6 +22,7 @@ from lakecare.llm.common import remainder, table
 
 LANGUAGE_FOLDS, LANGUAGE_HELD = 4, 2
 TOXIC_FOLDS, TOXIC_HELD = 5, 0
+TAMPERED = 5
 
 #: The URL rules as (host, path, action).
 URL_RULES = (
@@ -92,6 +94,13 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, folder, "documents"))
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
+    text = F.when(tampered, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    return merkle.checked(merkle.proofs(docs, changed=text))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -105,6 +114,7 @@ QUERIES = {
         op8_packing,
         op9_mixing,
         op10_fingerprints,
+        op12_merkle,
     )
 }
 
@@ -184,8 +194,76 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM named LEFT JOIN fit USING (page_id)"""
 
 
+def _merkle_sql(group_levels: int = 6, crown_levels: int = 4) -> str:
+    """Levels are written out: up to 16**6 documents a source and 16**4 sources."""
+    fields = ", ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in merkle.COLUMNS)
+    lowered = fields.replace("text::VARCHAR", f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')")
+    polynomial = 0xEDB88320
+
+    def levels(prefix: str, count: int) -> str:
+        steps = []
+        for m in range(count):
+            steps.append(f"""
+{prefix}{m + 1} AS (
+  SELECT tree, place // 16 AS place, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY place)) ELSE any_value(digest) END AS digest,
+    (any_value(n) + 15) // 16 AS n FROM {prefix}{m} GROUP BY tree, place // 16)""")
+        return ",".join(steps)
+
+    def paths(prefix: str, count: int, source: str) -> str:
+        """Left and right siblings of every leaf of ``source`` at every level, null where the level has one node."""
+        columns = []
+        for m in range(count):
+            for side, sign in (("l", "<"), ("r", ">")):
+                columns.append(
+                    f"(SELECT coalesce(string_agg(x.digest, '' ORDER BY x.place), '') FROM {prefix}{m} x WHERE x.tree = s.tree"
+                    f" AND x.place // 16 = s.place // {16 ** (m + 1)} AND x.place {sign} s.place // {16**m}) AS {side}{m}"
+                )
+            columns.append(f"(SELECT any_value(x.n) > 1 FROM {prefix}{m} x WHERE x.tree = s.tree) AS up{m}")
+        return f"SELECT s.*, {', '.join(columns)} FROM {source} s"
+
+    def siblings(alias: str, count: int) -> str:
+        return " || ".join(f"CASE WHEN {alias}.up{m} THEN {alias}.l{m} || {alias}.r{m} ELSE '' END" for m in range(count))
+
+    def folding(alias: str, before: str, count: int, name: str) -> str:
+        """One query for each level, as nested expressions would repeat the digest below them."""
+        text, last = [], before
+        for m in range(count):
+            text.append(
+                f"{name}{m} AS (SELECT * EXCLUDE (acc), CASE WHEN {alias}up{m} THEN sha256({alias}l{m} || acc || {alias}r{m}) ELSE acc END AS acc FROM {last})"
+            )
+            last = f"{name}{m}"
+        return ",\n".join(text)
+
+    return f"""
+WITH crcs AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+      string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda acc, x: CASE WHEN xor(acc, x) % 2 = 1 THEN xor(xor(acc, x) // 2, {polynomial}::UBIGINT) ELSE xor(acc, x) // 2 END), 4294967295::UBIGINT) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+leaves AS (
+  SELECT doc_id, source, sha256(concat({fields})) AS digest,
+    CASE WHEN crc % {TAMPERED} = 0 AND text IS NOT NULL THEN sha256(concat({lowered})) ELSE sha256(concat({fields})) END AS changed
+  FROM documents LEFT JOIN crcs USING (doc_id)),
+g0 AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS place,
+    count(*) OVER (PARTITION BY source) AS n FROM leaves),{levels("g", group_levels)},
+c0 AS (SELECT 0 AS tree, tree AS place, digest, count(*) OVER () AS n FROM g{group_levels}),{levels("c", crown_levels)},
+below AS ({paths("g", group_levels, "g0")}),
+beyond AS ({paths("c", crown_levels, "c0")}),
+proved AS (
+  SELECT b.*, b.changed AS acc, t.digest AS subroot, (SELECT digest FROM c{crown_levels}) AS root,
+    sha256({siblings("b", group_levels)} || {siblings("t", crown_levels)}) AS proof_sha256,
+    {", ".join(f"t.l{m} AS tl{m}, t.r{m} AS tr{m}, t.up{m} AS tup{m}" for m in range(crown_levels))}
+  FROM below b JOIN beyond t ON b.tree = t.place),
+{folding("", "proved", group_levels, "fg")},
+{folding("t", f"fg{group_levels - 1}", crown_levels, "fc")}
+SELECT doc_id, digest AS leaf, subroot, root, proof_sha256, acc AS folded_root, acc = root AS verified FROM fc{crown_levels - 1}"""
+
+
 ORACLE = {
     "op1_secret_scan": _secret_sql(),
     "op7_url_filter": _url_sql(),
     "op9_mixing": _mixing_sql(),
+    "op12_merkle": _merkle_sql(),
 }
