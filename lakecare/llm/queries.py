@@ -12,7 +12,9 @@ from lakecare.llm import (
     langid,
     merkle,
     mixing,
+    negatives,
     packing,
+    pii,
     secret_scan,
     simhash,
     toxicity,
@@ -94,6 +96,12 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").select("vec_id", relabelled.alias("label"), F.col("embedding").alias("vector"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
@@ -101,6 +109,10 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.checked(merkle.proofs(docs, changed=text))
 
 
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.private_spans(table(spark, folder, "documents")))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -114,7 +126,9 @@ QUERIES = {
         op8_packing,
         op9_mixing,
         op10_fingerprints,
+        op11_hard_negatives,
         op12_merkle,
+        op13_pii,
     )
 }
 
@@ -194,6 +208,27 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM named LEFT JOIN fit USING (page_id)"""
 
 
+def _negatives_sql() -> str:
+    return f"""
+WITH taking AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM taking a JOIN taking r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS positive_rank
+  FROM scored WHERE same QUALIFY positive_rank <= {negatives.POSITIVES})
+SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, p.positive_rank::INT AS positive_rank,
+  n.vec_id AS negative_id, n.score AS negative_score,
+  (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INT AS rank
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 100 * n.score BETWEEN {negatives.LEAST_SHARE} * p.score AND {negatives.MOST_SHARE} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}"""
+
+
 def _merkle_sql(group_levels: int = 6, crown_levels: int = 4) -> str:
     """Levels are written out: up to 16**6 documents a source and 16**4 sources."""
     fields = ", ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in merkle.COLUMNS)
@@ -265,5 +300,6 @@ ORACLE = {
     "op1_secret_scan": _secret_sql(),
     "op7_url_filter": _url_sql(),
     "op9_mixing": _mixing_sql(),
+    "op11_hard_negatives": _negatives_sql(),
     "op12_merkle": _merkle_sql(),
 }
