@@ -259,7 +259,7 @@ def hard_negatives(
     spark = vectors.sparkSession
     ship(spark)
     rows = stage(summarised(usable(vectors, scale)), "negatives-rows")
-    asked = rows.where(is_anchor & ~F.col("unnamed"))
+    asked = stage(rows.where(is_anchor & ~F.col("unnamed")), "negatives-anchors")
     total, anchors = rows.count(), asked.count()
     if not anchors:
         return spark.createDataFrame([], RESULT)
