@@ -238,6 +238,12 @@ def _dashboard(money: str, on: str, columns: str) -> str:
         FROM metrics m LEFT JOIN {money} r ON {on}"""
 
 
+CTES["ingested"] = """
+    SELECT *, CASE WHEN known THEN 'run-1' ELSE 'run-2' END AS run_id
+    FROM (SELECT *, last_modified_date < '2001-06-01' AND record_id % 13 <> 0 AS known FROM raw_patients)
+    WHERE known OR last_modified_date >= (
+        SELECT CAST(CAST(max(last_modified_date) AS DATE) - 30 AS VARCHAR) FROM raw_patients
+        WHERE last_modified_date < '2001-06-01' AND record_id % 13 <> 0)"""
 CTES["metrics"] = _hospital_metrics("patients")
 CTES["dashboard"] = _dashboard(
     "rollup_money",
@@ -468,11 +474,36 @@ FINAL: dict[str, str] = {
         SELECT 'claim_id' AS column_name, count(DISTINCT claim_id) AS distinct_values, TRUE AS narrow FROM claims
         UNION ALL SELECT 'patient_id', count(DISTINCT patient_id), TRUE FROM claims""",
     "ingest_job_control": """
-        SELECT 'EHR_Patients' AS pipeline_name, 'run-1' AS run_id, 'Succeeded' AS status,
-               count(*) FILTER (WHERE last_modified_date < '2001-06-01') AS rows_copied, max(last_modified_date) AS last_modified_date
-        FROM raw_patients
-        UNION ALL SELECT 'EHR_Patients', 'run-2', 'Succeeded', count(*), max(last_modified_date) FROM raw_patients
-        WHERE last_modified_date >= (SELECT max(last_modified_date) FROM raw_patients WHERE last_modified_date < '2001-06-01')""",
+        SELECT 'EHR_Patients' AS pipeline_name, run_id, 'Succeeded' AS status, count(*) AS rows_copied,
+               (SELECT max(last_modified_date) FROM raw_patients) AS last_modified_date
+        FROM ingested GROUP BY run_id
+        UNION ALL SELECT 'EHR_Patients', 'run-3', 'Failed', 0, (SELECT max(last_modified_date) FROM raw_patients)""",
+    "ingest_overlap_rows": """
+        SELECT record_id, last_modified_date, TRY_CAST(date_of_birth AS DATE) AS date_of_birth,
+               CASE WHEN TRY_CAST(date_of_birth AS DATE) IS NULL THEN date_of_birth END AS raw_birth, run_id FROM ingested""",
+    "landing_manifest": """
+        SELECT folder, delivery, 'archived' AS state, count(*) AS rows,
+               count(*) FILTER (WHERE TRY_CAST(admission_date AS DATE) IS NULL) AS quarantined, count(*) AS archived_rows
+        FROM (SELECT *, CASE WHEN record_id % 3 = 0 THEN '2001/07/31' ELSE '2001/08/01' END AS folder,
+                     CASE WHEN record_id % 3 = 2 THEN 'c' ELSE 'a' END AS delivery FROM raw_patients)
+        GROUP BY folder, delivery""",
+    "landing_rows": """
+        SELECT record_id, TRY_CAST(admission_date AS DATE) AS admission_date, TRY_CAST(date_of_birth AS DATE) AS date_of_birth,
+               TRY_CAST(admission_date AS DATE) IS NULL AS apart,
+               CASE WHEN TRY_CAST(date_of_birth AS DATE) IS NULL THEN date_of_birth END AS raw_date_of_birth,
+               CASE WHEN TRY_CAST(admission_date AS DATE) IS NULL THEN admission_date END AS raw_admission_date
+        FROM raw_patients""",
+    "csv_rescued_cells": " UNION ALL ".join(
+        f"SELECT record_id, '{c}' AS column_name, {c} AS raw FROM raw_patients WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DATE) IS NULL"
+        for c in ("date_of_birth", "admission_date", "discharge_date")
+    ),
+    "typed_landing_rescued": """
+        SELECT column_name, cells, (SELECT count(*) FROM raw_claims) AS rows,
+               (SELECT count(*) FROM raw_claims WHERE TRY_CAST(processed_date AS DATE) IS NULL) AS quarantined
+        FROM (SELECT 'claim_id' AS column_name, 0 AS cells UNION ALL SELECT 'total_amount', 0
+              UNION ALL SELECT 'submitted_date', count(*) FROM raw_claims WHERE TRY_CAST(submitted_date AS DATE) IS NULL
+              UNION ALL SELECT 'processed_date', count(*) FROM raw_claims WHERE TRY_CAST(processed_date AS DATE) IS NULL
+              UNION ALL SELECT 'procedure_code', count(*) FROM raw_claims WHERE TRY_CAST(procedure_code AS INTEGER) IS NULL)""",
     "ml_predictions_table": """
         SELECT label, count(*) AS rows, count(*) AS sound, count(*) AS banded, count(DISTINCT patient_id) AS patients
         FROM features GROUP BY label""",

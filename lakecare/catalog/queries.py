@@ -9,19 +9,19 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from lakecare.functions import rules
 from lakecare.functions.clock import run_date_folder
 from lakecare.ml import readmission
 from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.merge import merge_upsert
-from lakecare.operators.quality import date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
+from lakecare.operators.quality import EmptySourceError, date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
 from lakecare.plans import gold, ingest, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD_PARTITIONS, VITALS_EVENT
 from lakecare.session import scratch_path, stage, streaming_session
 from lakecare.sinks import tables
-from lakecare.sources import batch, control, retail
+from lakecare.sources import batch, control, rescue, retail
 from lakecare.streaming import landing, vitals as streams
 
 AS_OF, RUN_DATE = "2001-08-01 00:00:00", "2001-08-01"
@@ -136,21 +136,42 @@ def watermark_update(lake: Lake) -> DataFrame:
     return tables.read_table(lake.spark, path)
 
 
-@query
-def ingest_job_control(lake: Lake) -> DataFrame:
-    """Two runs of the ingestion job, the second over rows that came later: run log and final watermark."""
+#: Rows whose key is a multiple are committed to the source only after the first run.
+LATE_KEYS, LOOKBACK_DAYS = 13, 30
+
+
+def _ingested(lake: Lake) -> str:
+    """Four runs of the ingestion job: rows known then, all rows with late ones, the second again, and no news."""
     base, at = scratch_path(lake.spark, "ingest"), datetime.fromisoformat(AS_OF)
     source = lake.raw_patients.select(*EXTRACT_COLUMNS, "record_id")
-    for run_id, rows in (("run-1", source.where(F.col("last_modified_date") < EXTRACT_SINCE)), ("run-2", source)):
-        ingest.ingest_increment(
-            lake.spark, rows, "EHR_Patients", "last_modified_date", f"{base}/bronze", f"{base}/control", f"{base}/log",
-            RUN_DATE, run_id, at, {"record_id": "bigint"},
-        )
+    known = source.where((F.col("last_modified_date") < EXTRACT_SINCE) & (F.col("record_id") % LATE_KEYS != 0))
+    for run_id, rows in (("run-1", known), ("run-2", source), ("run-2", source.limit(0)), ("run-3", source)):
+        try:
+            ingest.ingest_increment(
+                lake.spark, rows, "EHR_Patients", "last_modified_date", f"{base}/bronze", f"{base}/control", f"{base}/log",
+                RUN_DATE, run_id, at, {"record_id": "bigint", "date_of_birth": "date"}, lookback_days=LOOKBACK_DAYS,
+            )
+        except EmptySourceError:  # the gate's verdict is in the log
+            pass
+    return base
+
+
+@query
+def ingest_job_control(lake: Lake) -> DataFrame:
+    """The run log of four runs and the final watermark."""
+    base = _ingested(lake)
     log = lake.spark.read.schema(tables.RUN_LOG).parquet(f"{base}/log").drop("run_time")
     moved = tables.read_table(lake.spark, f"{base}/control")
     return log.join(moved, F.col("pipeline_name") == F.col("table_name")).drop("table_name")
 
 
+@query
+def ingest_overlap_rows(lake: Lake) -> DataFrame:
+    """Every row that the runs have landed, with its run: late ones within the lookback, none twice."""
+    landed = lake.spark.read.parquet(f"{_ingested(lake)}/bronze/EHR_Patients/{run_date_folder(RUN_DATE)}")
+    return landed.select("record_id", "last_modified_date", "date_of_birth", F.col("_rescued")["date_of_birth"].alias("raw_birth"), "run_id")
+
+
 @query
 def csv_bronze_scan(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "bronze-csv")
@@ -180,7 +201,99 @@ def csv_landing_stream(lake: Lake) -> DataFrame:
     landing.land_and_archive(
         lake.spark, f"{base}/in", BRONZE_PATIENTS, f"{base}/bronze", RUN_DATE, f"{base}/checkpoint", f"{base}/archive"
     )
-    return lake.spark.read.parquet(f"{base}/bronze/{run_date_folder(RUN_DATE)}").drop("_source_file")
+    rows = landing.read_landed(lake.spark, f"{base}/bronze", f"{base}/checkpoint", BRONZE_PATIENTS)
+    return rows.select(*BRONZE_PATIENTS.names)
+
+
+#: The raw patients as a source should declare them: dates that do not parse have to be rescued.
+TYPED_PATIENTS = StructType(
+    [
+        StructField(f.name, DateType() if f.name in ("date_of_birth", "admission_date", "discharge_date") else f.dataType)
+        for f in BRONZE_PATIENTS.fields
+    ]
+    + [StructField("record_id", LongType())]
+)
+
+
+def _deliver(lake: Lake, rows: DataFrame, base: str, name: str, age_days: int = 0) -> None:
+    """Put the rows into the landing folder as the files ``<name>-<i>.csv``, stamped as old as asked for."""
+    staged = f"{base}/sent-{name}-{uuid.uuid4().hex}"
+    _write_csv(rows.repartition(2, "record_id"), staged)
+    sent, into = landing.Folder(lake.spark, staged), landing.Folder(lake.spark, f"{base}/in")
+    for i, file in enumerate(sorted(sent.files())):
+        sent.move(file, f"{into.root}/{name}-{i}.csv")
+        if age_days:
+            stamp = into.stat(f"{name}-{i}.csv")[1] - age_days * 86_400_000
+            into.fs.setTimes(into.at(f"{name}-{i}.csv"), stamp, -1)
+
+
+def _landed(lake: Lake) -> str:
+    """Two days of deliveries: the second day brings the first one's file names again, and old files."""
+    base = scratch_path(lake.spark, "manifest")
+    rows = lake.raw_patients.select(*TYPED_PATIENTS.names)
+    part = F.col("record_id") % 3
+
+    def run(day: str) -> None:
+        landing.land_and_archive(
+            lake.spark, f"{base}/in", TYPED_PATIENTS, f"{base}/bronze", day, f"{base}/checkpoint", f"{base}/archive",
+            required=["admission_date"],
+        )
+
+    _deliver(lake, rows.where(part == 0), base, "a")
+    run("2001-07-31")
+    _deliver(lake, rows.where(part == 1), base, "a")
+    _deliver(lake, rows.where(part == 2), base, "c", age_days=30)
+    run(RUN_DATE)
+    run(RUN_DATE)
+    return base
+
+
+@query
+def landing_manifest(lake: Lake) -> DataFrame:
+    """What became of each delivery, beside the rows found in its archived files."""
+    base = _landed(lake)
+    name = F.regexp_replace("name", "-[0-9]+[.]csv$", "")
+    log = landing.deliveries(landing.read_manifest(lake.spark, f"{base}/checkpoint/manifest"))
+    told = log.groupBy("folder", name.alias("delivery"), "state").agg(
+        F.sum("rows").alias("rows"), F.sum("quarantined").alias("quarantined")
+    )
+    kept = lake.spark.read.option("recursiveFileLookup", "true").option("header", "true").csv(f"{base}/archive")
+    where = F.regexp_extract_all("path", F.lit("/([0-9]+/[0-9]+/[0-9]+)/batch=[0-9]+/([a-z]+)-"), F.lit(1))[0]
+    of = F.regexp_extract("path", "/batch=[0-9]+/([a-z]+)-", 1)
+    archived = (
+        kept.select(F.col("_metadata.file_path").alias("path"))
+        .groupBy(where.alias("folder"), of.alias("delivery")).agg(F.count(F.lit(1)).alias("archived_rows"))
+    )
+    return told.join(archived, ["folder", "delivery"], "left")
+
+
+@query
+def landing_rows(lake: Lake) -> DataFrame:
+    """All rows landed by the two days, good or set apart, with the raw text of unreadable dates."""
+    base = _landed(lake)
+    parts = [
+        landing.read_landed(lake.spark, f"{base}/bronze", f"{base}/checkpoint", TYPED_PATIENTS, apart).withColumn("apart", F.lit(apart))
+        for apart in (False, True)
+    ]
+    rescued = [F.col("_rescued")[c].alias(f"raw_{c}") for c in ("date_of_birth", "admission_date")]
+    return parts[0].unionByName(parts[1]).select("record_id", "admission_date", "date_of_birth", "apart", *rescued)
+
+
+@query
+def csv_rescued_cells(lake: Lake) -> DataFrame:
+    """Every cell of the raw CSV that its declared type cannot hold."""
+    path = scratch_path(lake.spark, "rescued-csv")
+    _write_csv(lake.raw_patients.select(*TYPED_PATIENTS.names), path)
+    return rescue.rescued_cells(rescue.read_csv_rescued(lake.spark, path, TYPED_PATIENTS), "record_id")
+
+
+@query
+def typed_landing_rescued(lake: Lake) -> DataFrame:
+    """Typed copy of the raw claims: rescued cells per column, good and quarantined rows, as the write counted them."""
+    types = {"claim_id": "string", "processed_date": "date", "submitted_date": "date", "procedure_code": "int", "total_amount": "double"}
+    split = tables.land_rescued(lake.raw_claims, scratch_path(lake.spark, "typed-rescued"), types, ["processed_date"])
+    counts = [(c, n, split.rows, split.quarantined) for c, n in split.rescued.items()]
+    return lake.spark.createDataFrame(counts, "column_name string, cells bigint, rows bigint, quarantined bigint")
 
 
 # Quality ------------------------------------------------------------------------------

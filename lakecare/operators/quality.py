@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructType
 
 from lakecare.functions.rules import date_shaped
 
@@ -55,10 +56,16 @@ def require_non_empty(sources: Mapping[str, DataFrame]) -> None:
         raise EmptySourceError(", ".join(sorted(failed)))
 
 
-def content_measures(columns: Sequence[str]) -> list[Column]:
-    """Row count and an order-free checksum; a null counts by its place, not only by its absence."""
-    places = [F.col(c).isNull() for c in columns]
-    return [
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.xxhash64(*columns, *places).cast("decimal(20,0)")).alias("checksum"),
+def row_hash(schema: StructType) -> Column:
+    """A hash of a whole row; a null counts by its place, not only by its absence, a map by its sorted entries."""
+    columns = [F.col(f"`{f.name}`") for f in schema.fields]
+    shown = [
+        F.array_sort(F.map_entries(c)) if isinstance(f.dataType, MapType) else c
+        for c, f in zip(columns, schema.fields, strict=True)
     ]
+    return F.xxhash64(*shown, *[c.isNull() for c in columns])
+
+
+def content_measures(schema: StructType) -> list[Column]:
+    """Row count and an order-free checksum."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(row_hash(schema).cast("decimal(20,0)")).alias("checksum")]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lakecare.operators.merge import merge_upsert, require_unique
 from lakecare.operators.quality import content_measures
 from lakecare.session import stage
+from lakecare.sources.rescue import Split, convert, write_split
 
 POINTER = "CURRENT"
 BUCKET = "_bucket"
@@ -251,6 +252,12 @@ def land(df: DataFrame, path: str, columns: dict[str, str]) -> None:
     df.select(*[F.col(c).try_cast(t).alias(c) for c, t in columns.items()]).write.mode("overwrite").parquet(path)
 
 
+def land_rescued(df: DataFrame, path: str, columns: dict[str, str], required: Sequence[str] = ()) -> Split:
+    """Typed landing copy that loses nothing: ``<path>/_set=good`` and, for rows that lost a required cell,
+    ``<path>/_set=quarantined``. Cells that do not convert stay as text in ``_rescued``; counts come from the write."""
+    return write_split(convert(df.select(*columns), columns), path, required, list(columns))
+
+
 def checked_copy(df: DataFrame, path: str, name: str) -> DataFrame:
     """Write ``df`` and compare rows and content checksum with what is read back.
 
@@ -258,11 +265,11 @@ def checked_copy(df: DataFrame, path: str, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     seen = Observation(f"copy-{uuid.uuid4().hex}")
-    measures = content_measures(df.columns)
+    measures = content_measures(df.schema)
     df.observe(seen, *measures).write.mode("overwrite").parquet(path)
     written = seen.get
     checksum = F.lit(str(written["checksum"])).cast("decimal(30,0)") if written["checksum"] is not None else F.lit(None)
-    back = spark.read.schema(df.schema).parquet(path).agg(*content_measures(df.columns))
+    back = spark.read.schema(df.schema).parquet(path).agg(*content_measures(df.schema))
     same = (F.col("rows") == F.lit(written["rows"])) & F.col("checksum").eqNullSafe(checksum)
     return back.select(
         F.lit(name).alias("table_name"),

@@ -38,5 +38,6 @@ def load_watermark(spark: SparkSession, path: str, table_name: str) -> object |
 
 
 def store_watermark(spark: SparkSession, path: str, batch: DataFrame, table_name: str, column: str) -> None:
-    """An empty batch leaves the control table as it is."""
-    upsert_table(spark, path, batch_watermark(batch, table_name, column), ["table_name"])
+    """An empty batch leaves the control table as it is, and an older one too: a watermark never moves back."""
+    moved = batch_watermark(batch, table_name, column)
+    upsert_table(spark, path, moved, ["table_name"], newer_by="last_modified_date", unique=True)

@@ -99,7 +99,7 @@ def test_bucketed_upsert_survives_a_stop_and_refuses_other_buckets(spark, folder
 
 def test_a_moved_null_changes_the_checksum(spark):
     sums = [
-        spark.createDataFrame([row], "a string, b string").agg(*tables.content_measures(["a", "b"])).first()["checksum"]
+        spark.createDataFrame([row], "a string, b string").agg(*tables.content_measures(StructType.fromDDL("a string, b string"))).first()["checksum"]
         for row in ((None, "x"), ("x", None))
     ]
     assert sums[0] != sums[1]
@@ -221,11 +221,45 @@ def test_ingestion_moves_the_watermark_and_repeats_safely(spark, folder):
     assert _run(spark, folder, source, "r1", types={"id": "string"}) == 3
     assert control.load_watermark(spark, f"{folder}/control", "T") == "2024-01-02"
     more = source.unionByName(spark.createDataFrame([("d", "2024-01-02"), ("e", "2024-01-03")], "id string, m string"))
-    assert _run(spark, folder, more, "r2") == 4  # the newest day again, the row without a readable date, the new ones
+    assert _run(spark, folder, more, "r2") == 2  # the newest day and the row without a date are landed already
+    assert control.load_watermark(spark, f"{folder}/control", "T") == "2024-01-03"
+    assert _run(spark, folder, more.limit(0), "r2") == 2  # a run that succeeded is not copied again
+    assert _run(spark, folder, more.limit(0), "r1") == 3  # nor does its repetition move the watermark back
     assert control.load_watermark(spark, f"{folder}/control", "T") == "2024-01-03"
-    assert _run(spark, folder, more.limit(0), "r2") == 4  # a run that succeeded is not copied again
     landed = spark.read.parquet(f"{folder}/bronze/T/2024/01/05")
-    assert landed.count() == 7 and {r.run_id for r in landed.select("run_id").distinct().collect()} == {"r1", "r2"}
+    assert landed.count() == 5 and {r.run_id for r in landed.select("run_id").distinct().collect()} == {"r1", "r2"}
+    with pytest.raises(EmptySourceError):
+        _run(spark, folder, more, "r3")  # a source without news does not pass the gate
+
+
+def test_late_rows_and_repeated_rows_are_landed_once(spark, folder):
+    layout = "id string, m string, n string"
+    first = spark.createDataFrame([("a", "2024-01-10", "1"), ("b", "2024-01-20", "x"), ("b", "2024-01-20", "x"), ("n", None, None)], layout)
+    assert _run(spark, folder, first, "r1", types={"n": "int"}) == 4
+    late = [("late", "2024-01-15", "2"), ("older", "2024-01-01", "2"), ("b", "2024-01-20", "x"), ("n", None, None), ("m", None, None)]
+    second = first.unionByName(spark.createDataFrame(late, layout))
+    assert _run(spark, folder, second, "r2", lookback_days=7, types={"n": "int"}) == 4  # late, a third b, a second n, m
+    assert _run(spark, folder, second, "r3", lookback_days=7, allow_empty=True) == 0
+    landed = spark.read.parquet(f"{folder}/bronze/T/2024/01/05").where("run_id = 'r2'")
+    assert sorted(r["id"] for r in landed.collect()) == ["b", "late", "m", "n"]
+    assert [r["_rescued"] for r in landed.where("id = 'b'").collect()] == [{"n": "x"}]
+    assert control.load_watermark(spark, f"{folder}/control", "T") == "2024-01-20"
+
+
+def test_rows_of_a_failed_run_are_landed_by_the_next(spark, folder, monkeypatch):
+    source = spark.createDataFrame([("a", "2024-01-10")], "id string, m string")
+    assert _run(spark, folder, source, "r1") == 1
+    more = source.unionByName(spark.createDataFrame([("b", "2024-01-11")], "id string, m string"))
+
+    def broken(df, path, name):
+        df.write.mode("overwrite").parquet(path)
+        raise tables.CopyMismatchError(name)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "require_copy", broken)
+        with pytest.raises(tables.CopyMismatchError):
+            _run(spark, folder, more, "r2")
+    assert _run(spark, folder, more, "r3") == 1
 
 
 def test_ingestion_gate_logs_the_failure(spark, folder):
