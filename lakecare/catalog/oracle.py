@@ -244,6 +244,10 @@ CTES["ingested"] = """
     WHERE known OR last_modified_date >= (
         SELECT CAST(CAST(max(last_modified_date) AS DATE) - 30 AS VARCHAR) FROM raw_patients
         WHERE last_modified_date < '2001-06-01' AND record_id % 13 <> 0)"""
+_TURN = "CASE WHEN event_id % 5 = 0 THEN 2 WHEN ts >= '2024-01-16' THEN 1 ELSE 0 END"
+CTES["told"] = CTES["vitals"].replace("FROM events", f"FROM events WHERE event_id % 50 <> 1").replace(
+    "ts AS event_time", f"ts AS event_time, {_TURN} AS batch"
+)
 CTES["metrics"] = _hospital_metrics("patients")
 CTES["dashboard"] = _dashboard(
     "rollup_money",
@@ -278,13 +282,13 @@ def _root_cause(rows: str, tie: str) -> str:
         GROUP BY a.diagnosis_code, a.ward"""
 
 
-def _windows(width: str, keys: str, back: str = "") -> str:
+def _windows(width: str, keys: str, back: str = "", source: str = "vitals") -> str:
     return f"""
         SELECT {keys}, avg(heart_rate) AS avg_heart_rate, max(heart_rate) AS max_heart_rate, min(heart_rate) AS min_heart_rate,
                avg(blood_pressure_systolic) AS avg_bp_systolic, avg(blood_pressure_diastolic) AS avg_bp_diastolic,
                avg(spo2) AS avg_spo2, avg(temperature) AS avg_temperature, count(*) AS reading_count,
                time_bucket(INTERVAL '{width}', event_time{back}) + INTERVAL '{width}' AS window_end_time
-        FROM vitals GROUP BY {keys}, time_bucket(INTERVAL '{width}', event_time{back})"""
+        FROM {source} GROUP BY {keys}, time_bucket(INTERVAL '{width}', event_time{back})"""
 
 
 _VISITS = """
@@ -521,6 +525,14 @@ FINAL: dict[str, str] = {
         SELECT event_id, CASE WHEN event_id % 5 = 1 THEN 'unparsed' WHEN event_id % 11 = 1 THEN 'empty' ELSE 'no_event_time' END AS reason
         FROM events WHERE event_id % 5 = 1 OR event_id % 11 = 1 OR event_id % 7 = 1""",
     "vitals_alerts_stream": _ALERTS,
+    "vitals_corrected_windows": _windows("5 minutes", "patient_id, device_id, ward_id", source="told"),
+    "vitals_fan_out_sinks": f"""
+        SELECT 'alerts' AS sink, batch, count(*) AS rows FROM ({_ALERTS.replace("alert_type", "alert_type, batch").replace("FROM vitals", "FROM told")}) GROUP BY batch
+        UNION ALL SELECT 'rejects', {_TURN}, count(*) FROM events WHERE event_id % 50 = 1 GROUP BY ALL
+        UNION ALL SELECT 'late', batch, count(*) FROM told
+        WHERE time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes'
+              <= (SELECT max(event_time) - INTERVAL '5 minutes' FROM told AS earlier WHERE earlier.batch < told.batch)
+        GROUP BY batch""",
     "ml_features": "SELECT * FROM features",
     "label_distribution": "SELECT label, count(*) AS rows FROM features GROUP BY label",
     "category_index": " UNION ALL ".join(

@@ -22,7 +22,7 @@ from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GO
 from lakecare.session import scratch_path, stage, streaming_session
 from lakecare.sinks import tables
 from lakecare.sources import batch, control, rescue, retail
-from lakecare.streaming import landing, vitals as streams
+from lakecare.streaming import fanout, landing, vitals as streams
 
 AS_OF, RUN_DATE = "2001-08-01 00:00:00", "2001-08-01"
 EXTRACT_SINCE = "2001-06-01"
@@ -829,6 +829,47 @@ def rejected_messages(lake: Lake) -> DataFrame:
     return streams.rejected_messages(messages, "value").select("event_id", "reason")
 
 
+def _fanned_out(lake: Lake) -> fanout.Sinks:
+    """The readings as JSON messages in three deliveries, a micro-batch each, some cut short.
+
+    The last delivery holds readings of the whole time, which come after their windows are closed.
+    """
+    base, key = scratch_path(lake.spark, "fan-out"), F.col("event_id")
+    events = retail.table(lake.spark, lake.folder, "events")
+    stamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    rows = retail.vitals_of(events, "event_id", "ts").withColumn("event_time", stamp)
+    whole = F.to_json(F.struct(*VITALS_EVENT.names))
+    cut = F.when(key % 50 == 1, whole.substr(F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    turn = F.when(key % 5 == 0, 2).when(F.col("ts") >= "2024-01-16", 1).otherwise(0)
+    messages = stage(rows.select(cut.alias("value"), turn.alias("turn")), "fan-out-messages")
+    sinks = fanout.Sinks(f"{base}/out", buckets=8)
+    session = streaming_session(lake.spark)
+    for turn in range(3):
+        messages.where(F.col("turn") == turn).select("value").write.mode("append").text(f"{base}/in")
+        source = session.readStream.schema("value string").text(f"{base}/in")
+        fanout.start_fan_out(source, sinks, f"{base}/checkpoint", once=True).awaitTermination()
+    return sinks
+
+
+@query
+def vitals_corrected_windows(lake: Lake) -> DataFrame:
+    """Closed windows, corrected by late readings, and those still open."""
+    sinks = _fanned_out(lake)
+    windows = fanout.read_sink(lake.spark, sinks, fanout.CLOSED).unionByName(fanout.open_windows(lake.spark, sinks))
+    return windows.withColumn("window_end_time", F.col("window_end_time").cast("timestamp_ntz"))
+
+
+@query
+def vitals_fan_out_sinks(lake: Lake) -> DataFrame:
+    """Rows of each sink that the one read of the messages has filled, per micro-batch."""
+    sinks = _fanned_out(lake)
+    parts = [
+        fanout.read_sink(lake.spark, sinks, sink).groupBy(F.lit(sink).alias("sink"), fanout.BATCH).agg(F.count(F.lit(1)).alias("rows"))
+        for sink in (fanout.ALERTS, fanout.REJECTS, fanout.LATE)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn(fanout.BATCH, F.col(fanout.BATCH).cast("int"))
+
+
 @query
 def vitals_alerts_stream(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "stream")

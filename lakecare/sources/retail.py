@@ -145,10 +145,11 @@ def bronze_claims(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def vitals_of(events: DataFrame) -> DataFrame:
-    """Vitals readings of an events frame, batch or streaming."""
+def vitals_of(events: DataFrame, *carried: str) -> DataFrame:
+    """Vitals readings of an events frame, batch or streaming, after the carried columns."""
     key = F.col("event_id")
     return events.select(
+        *carried,
         _text("P-", F.col("user_id")).alias("patient_id"),
         _text("DEV-", key % 20).alias("device_id"),
         F.col("event_type").alias("ward_id"),
