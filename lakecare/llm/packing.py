@@ -12,7 +12,7 @@ on to the task's next group, and at the end of a task it is cut at powers of two
 
 from __future__ import annotations
 
-import unicodedata
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,10 +29,16 @@ CAPACITY = 4096
 END_OF_DOCUMENT = 2
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 GROUP_TOKENS = 1 << 20
-#: Known chunks of text a worker keeps; beyond it the memory starts afresh.
-CHUNK_MEMORY = 350_000
+#: Known words that a worker keeps; beyond it the less used half is forgotten.
+WORD_MEMORY = 350_000
 #: Texts tokenised together; what a batch needs besides its texts grows with them.
 TEXTS_AT_ONCE = 500
+#: Chunks whose normal form is their lower case, whatever stands beside them: letters of one code point up
+#: to U+00FF, then marks that join with no letter and begin no special token.
+PLAIN = (
+    r"^(?P<head>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{DE}\x{DF}-\x{F6}\x{F8}-\x{FF}]+)"
+    r"(?P<marks>[!\"#$%&()*+,./:;=?@\[\\\]^_`{}~-]*)$"
+)
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
@@ -40,86 +46,96 @@ PIECES = (
 
 
 class ChunkTokenizer:
-    """Token ids of whole texts, from remembered ids of their space-separated chunks.
+    """Token ids of whole texts, from remembered ids of the words and marks in their space-separated chunks.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its chunks in order. Chunks that are plain words go to the model alone, in the
-    byte alphabet its pre-tokenizer would give; all others take the full tokenizer.
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its
+    chunks in order. A chunk of plain letters with ASCII marks after it is a word and a run of marks to
+    the tokenizer. Lower-cased words go to the model alone, in the byte alphabet that the
+    pre-tokenizer would give them. All other chunks, special tokens among them, take the full tokenizer.
     """
 
-    def __init__(self, path: str, memory: int = CHUNK_MEMORY) -> None:
+    def __init__(self, path: str, memory: int = WORD_MEMORY) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in (".", ",")}
         self.memory = memory
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
-        self.alphabet = {b: chr(256 + i) for i, b in enumerate(others)}
-        self._forget()
-
-    def _forget(self) -> None:
+        alphabet = {b: chr(256 + i) for i, b in enumerate(others)}
+        self.bytes_of = {c: chr(c).encode().decode("latin-1").translate(alphabet) for c in range(0xDF, 0x100)}
         self.known: dict[str, int] = {}
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.lengths, self.uses = (np.zeros(0, np.int64) for _ in range(3))
         self.flat = np.zeros(0, np.uint32)
 
-    def _word(self, word: str) -> list[int] | None:
-        """Ids of a lower-cased word of letters; None if it is anything else."""
-        if not word.isalpha():
-            return None
-        if not word.isascii():
-            if depends_on_neighbours(word):
-                return None
-            word = word.encode().decode("latin-1").translate(self.alphabet)
-        return [t.id for t in self.model.tokenize(word)]
-
-    def _chunk_ids(self, chunks: list[str]) -> list[list[int]]:
-        ids: list[list[int] | None] = []
-        for chunk in chunks:
-            lower = chunk.lower()
-            if lower[-1:] in self.marks and (head := self._word(lower[:-1])) is not None:
-                ids.append(head + self.marks[lower[-1]])
-            else:
-                ids.append(self._word(lower))
-        rest = [i for i, found in enumerate(ids) if found is None]
-        for i, encoded in zip(
-            rest, self.tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False), strict=True
-        ):
-            ids[i] = encoded.ids
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
-        ids = self._chunk_ids(chunks)
-        self.known.update(zip(chunks, range(len(self.lengths), len(self.lengths) + len(chunks)), strict=True))
+    def _keep_frequent(self) -> None:
+        """Forget all but the half of the memory that was used most; ties go to the words learnt first."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.memory // 2])
+        lengths = self.lengths[kept]
+        begins = np.cumsum(lengths) - lengths
+        self.flat = self.flat[np.repeat(self.starts[kept] - begins, lengths) + np.arange(lengths.sum())]
+        self.starts, self.lengths, self.uses = begins, lengths, self.uses[kept] // 2
+        words = list(self.known)
+        self.known = {words[k]: i for i, k in enumerate(kept.tolist())}
+
+    def _learn(self, words: pa.Array, plain: pa.Array) -> np.ndarray:
+        """Remember the ids of new words: plain ones in lower case, marks, or whole chunks; their places."""
+        narrow = pc.string_is_ascii(words)
+        kinds = [pc.and_(plain, narrow), pc.and_(plain, pc.invert(narrow)), pc.invert(plain)]
+        groups = [strings(words.filter(k)) for k in kinds]
+        spelt = groups[0] + ("\n".join(groups[1]).translate(self.bytes_of).split("\n") if groups[1] else [])
+        model = self.tokenizer.model.tokenize
+        ids = [[t.id for t in model(w)] for w in spelt]
+        ids += [e.ids for e in self.tokenizer.encode_batch_fast(groups[2], add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        first = len(self.lengths)
+        self.known.update(zip(itertools.chain(*groups), range(first, first + len(ids)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))])
+        self.uses = np.concatenate([self.uses, np.zeros(len(ids), np.int64)])
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain(*ids), np.uint32, int(lengths.sum()))])
+        order = np.concatenate([np.flatnonzero(k.to_numpy(zero_copy_only=False)) for k in kinds])
+        places = np.empty(len(ids), np.int64)
+        places[order] = first + np.arange(len(ids))
+        return places
+
+    def _places(self, words: pa.Array, plain: pa.Array) -> np.ndarray:
+        """Where each of the distinct words is remembered, new ones now too."""
+        listed, known = strings(words), self.known
+        places = np.fromiter((known.get(w, -1) for w in listed), np.int64, len(listed))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            places[new] = self._learn(words.take(pa.array(new)), plain.take(pa.array(new)))
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in one array, and where each text's ids begin (one entry more than texts)."""
         if len(self.known) > self.memory:
-            self._forget()
+            self._keep_frequent()
         spaced = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
         lists = pc.split_pattern(spaced, " ")
         coded = lists.values.dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        new = [c for c in chunks if c not in self.known]
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        place = place[coded.indices.to_numpy(zero_copy_only=False)] if len(chunks) else place
-        lengths = self.lengths[place]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(self.starts[place] - ends[:-1], lengths) + np.arange(ends[-1])]
-        return ids, ends[lists.offsets.to_numpy()]
-
-
-def depends_on_neighbours(word: str) -> bool:
-    """Whether normalising might change the lower-cased word, or its case folding depends on its neighbours."""
-    return "σ" in word or "ς" in word or "̇" in word or not unicodedata.is_normalized("NFC", word)
+        parts = pc.extract_regex(coded.dictionary, PLAIN)
+        head = pc.utf8_lower(pc.struct_field(parts, "head"))
+        # two pieces to a chunk: its word, or all of it; its marks, if it is a word
+        words = pc.coalesce(head, coded.dictionary).dictionary_encode()
+        marks = pc.fill_null(pc.struct_field(parts, "marks"), "").dictionary_encode()
+        of_word = words.indices.to_numpy(zero_copy_only=False)
+        plain = np.zeros(len(words.dictionary), bool)
+        plain[of_word] = head.is_valid().to_numpy(zero_copy_only=False)
+        first = self._places(words.dictionary, pa.array(plain))[of_word]
+        second = self._places(marks.dictionary, pa.array(np.zeros(len(marks.dictionary), bool)))
+        second = second[marks.indices.to_numpy(zero_copy_only=False)]
+        pieces = np.stack([first, second], 1)[coded.indices.to_numpy(zero_copy_only=False)].ravel()
+        self.uses += np.bincount(pieces, minlength=len(self.uses))
+        lengths = self.lengths[pieces]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.repeat(self.starts[pieces] - ends + lengths, lengths) + np.arange(total)]
+        return ids, np.concatenate([[0], ends])[2 * lists.offsets.to_numpy()]
+
+
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 @dataclass
