@@ -460,6 +460,14 @@ FINAL: dict[str, str] = {
         UNION ALL SELECT f.* FROM first_versions f
         WHERE NOT EXISTS (SELECT 1 FROM last_versions l WHERE l.claim_id = f.claim_id AND l.submitted_date > f.submitted_date)""",
     "bucketed_table_upsert": _UPSERTED,
+    "schema_change_upsert": """
+        SELECT claim_id, CASE WHEN NOT few THEN submitted_date END AS submitted_date,
+               CASE WHEN few OR submitted_date < '1998-01-01' THEN size ELSE size * 10000000000 END AS units,
+               CASE WHEN few THEN NULL WHEN submitted_date < '1998-01-01' THEN trunc(total_amount) ELSE total_amount END AS amount,
+               CASE WHEN NOT few AND submitted_date >= '1998-01-01' THEN trim(claim_type) END AS claim_type,
+               CASE WHEN few THEN 'seen' END AS note
+        FROM (SELECT *, claim_id LIKE 'CLM-1-%' AS few, length(procedure_description) AS size FROM raw_claims
+              QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY submitted_date DESC NULLS LAST, record_id) = 1)""",
     "versioned_table_upsert": _UPSERTED,
     "copy_consistency": """
         SELECT 'patients' AS table_name, count(*) AS rows_read, count(*) AS rows_written, TRUE AS consistent FROM raw_patients

@@ -656,6 +656,23 @@ def bucketed_table_upsert(lake: Lake) -> DataFrame:
     return tables.read_table(lake.spark, path)
 
 
+@query
+def schema_change_upsert(lake: Lake) -> DataFrame:
+    """Three upserts: the second widens a column and adds one, the third, of few keys, adds another to few buckets."""
+    path = scratch_path(lake.spark, "evolved")
+    claims = dedupe_latest(lake.raw_claims, ["claim_id"], ["submitted_date"], ["record_id"])
+    size = F.length("procedure_description")
+    first = claims.select("claim_id", "submitted_date", size.alias("units"), F.col("total_amount").cast("int").alias("amount"))
+    later = claims.where("submitted_date >= '1998-01-01'").select(
+        "claim_id", "submitted_date", (size * F.lit(10_000_000_000)).alias("units"), F.trim("claim_type").alias("claim_type"),
+        F.col("total_amount").alias("amount"),
+    )
+    few = claims.where("claim_id LIKE 'CLM-1-%'").select("claim_id", size.alias("units"), F.lit("seen").alias("note"))
+    for rows in (first, later, few):
+        tables.upsert_bucketed(lake.spark, path, rows, ["claim_id"], buckets=16, unique=True, evolve=True)
+    return tables.read_table(lake.spark, path)
+
+
 @query
 def versioned_table_upsert(lake: Lake) -> DataFrame:
     target, source = _claim_versions(lake)

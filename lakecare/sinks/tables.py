@@ -12,14 +12,17 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 from math import ceil, sqrt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakecare.operators.merge import merge_upsert, require_unique
 from lakecare.operators.quality import content_measures
 from lakecare.session import stage
+from lakecare.sinks.evolution import column_history, conform, declared, merged_layout
 from lakecare.sources.rescue import Split, convert, write_split
 
 POINTER = "CURRENT"
@@ -72,9 +75,26 @@ def current_path(spark: SparkSession, path: str) -> str:
     return path if name is None else f"{path}/versions/{name}"
 
 
-def _bucket_folders(path: str, live: dict, buckets: Sequence[int] | None = None) -> list[str]:
-    chosen = live["folders"] if buckets is None else [str(b) for b in buckets if str(b) in live["folders"]]
-    return [f"{path}/versions/{live['folders'][b]}/{BUCKET}={b}" for b in chosen]
+def _layout_of(live: dict, folder: str) -> str:
+    """The columns that the files of a version folder were written with."""
+    return live.get("layouts", {}).get(folder, live["schema"])
+
+
+def _read_buckets(spark: SparkSession, path: str, live: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+    """The live folders in the table's present layout: one scan for each layout that is still in use."""
+    present = StructType.fromDDL(live["schema"])
+    by_layout: dict[str, list[str]] = {}
+    for b in live["folders"] if buckets is None else [str(b) for b in buckets if str(b) in live["folders"]]:
+        folder = live["folders"][b]
+        by_layout.setdefault(_layout_of(live, folder), []).append(f"{path}/versions/{folder}/{BUCKET}={b}")
+    scans = [conform(spark.read.schema(layout).parquet(*paths), present) for layout, paths in by_layout.items()]
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], present)
+
+
+def table_columns(spark: SparkSession, path: str) -> list[dict]:
+    """(name, type, since) of a bucketed table's columns; ``since`` counts its upserts from 1."""
+    live = _bucket_map(_pointer(spark, path))
+    return live.get("columns", []) if live else []
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -82,7 +102,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     pointer = _pointer(spark, path)
     live = _bucket_map(pointer)
     if live is not None:
-        return spark.read.schema(live["schema"]).parquet(*_bucket_folders(path, live))
+        return _read_buckets(spark, path, live)
     return spark.read.format(fmt).load(path if pointer is None else f"{path}/versions/{pointer}")
 
 
@@ -152,17 +172,24 @@ def upsert_table(
     newer_by: str | None = None,
     unique: bool = False,
     sort_by: Sequence[str] = (),
+    evolve: bool = False,
 ) -> None:
     """Create the table on the first run, merge by key afterwards (new version each time).
 
-    A repeated source key raises; ``unique`` skips that check for a deduplicated source.
+    A repeated source key raises; ``unique`` skips that check for a deduplicated source. With
+    ``evolve`` the new version has the columns of both sides, each as wide as either needs it;
+    what a row does not bring is null.
     """
     if _bucket_map(_pointer(spark, path)) is not None:
         raise TableLayoutError(f"{path} holds a bucketed table")
     if not unique:
         require_unique(source, keys)
     if table_exists(spark, path):
-        source = merge_upsert(read_table(spark, path), source, keys, newer_by)
+        live = read_table(spark, path)
+        if evolve:
+            layout = merged_layout(live.schema, source.schema)
+            live, source = conform(live, layout), conform(source, layout)
+        source = merge_upsert(live, source, keys, newer_by)
     publish_version(source, path, partition_by, sort_by=sort_by)
 
 
@@ -175,6 +202,7 @@ def upsert_bucketed(
     newer_by: str | None = None,
     unique: bool = False,
     sort_by: Sequence[str] = (),
+    evolve: bool = False,
 ) -> None:
     """Upsert that rewrites only the key buckets the source touches, each sorted by ``sort_by``.
 
@@ -183,6 +211,11 @@ def upsert_bucketed(
     gives the same result. The bucket count is stored with the table; another one, another key
     or a versioned table at the path is refused. Old folders stay until ``vacuum``. Choose
     ``buckets`` so that one holds a few gigabytes, since that is the unit rewritten.
+
+    Without ``evolve`` a source of another layout is refused. With it, columns are added and types
+    grow; untouched buckets keep their files, whose own layout the pointer remembers, and are read
+    in the table's present one. A row takes all columns of its source, so what that lacks is null.
+    Key columns keep their type, which decides their bucket.
     """
     pointer = _pointer(spark, path)
     live = _bucket_map(pointer)
@@ -190,28 +223,56 @@ def upsert_bucketed(
         raise TableLayoutError(f"{path} holds a versioned table")
     if live is not None and (live["buckets"], live["keys"]) != (buckets, list(keys)):
         raise TableLayoutError(f"{path} has {live['buckets']} buckets of {live['keys']}")
-    if not unique:
-        require_unique(source, keys)
+    layout = StructType([StructField(f.name, f.dataType) for f in source.schema.fields])
+    if live is not None:
+        present = StructType.fromDDL(live["schema"])
+        layout = _agreed_layout(path, present, layout, keys, evolve)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    incoming = stage(source.withColumn(BUCKET, bucket), "upsert")
+    incoming = stage(conform(source, layout).withColumn(BUCKET, bucket), "upsert")
+    if not unique:
+        require_unique(incoming, keys)
     touched = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())  # at most ``buckets`` values
     folders = dict(live["folders"]) if live else {}
-    held = _bucket_folders(path, live, touched) if live else []
-    if held:
-        target = spark.read.schema(live["schema"]).parquet(*held).withColumn(BUCKET, bucket)
-        incoming = merge_upsert(target, incoming, keys, newer_by)
     if live is not None and not touched:
         return
+    if any(str(b) in folders for b in touched):
+        target = conform(_read_buckets(spark, path, live, touched), layout).withColumn(BUCKET, bucket)
+        incoming = merge_upsert(target, incoming, keys, newer_by)
     name = uuid.uuid4().hex
     overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET], sort_by=sort_by)
+    layouts = {f: _layout_of(live, f) for f in set(folders.values())} if live else {}
     folders |= {str(b): name for b in touched}
-    # what bound the rows stays readable by name: plain column declarations
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+    change = (live.get("change", 0) if live else 0) + 1
+    written = declared(layout)
     _switch(
-        spark, path, json.dumps({"buckets": buckets, "keys": list(keys), "schema": schema, "folders": folders})
+        spark,
+        path,
+        json.dumps(
+            {
+                "buckets": buckets,
+                "keys": list(keys),
+                "schema": written,
+                "change": change,
+                "columns": column_history(live.get("columns", []) if live else [], layout, change),
+                "folders": folders,
+                "layouts": {f: layouts.get(f, written) for f in sorted(set(folders.values()))},
+            }
+        ),
     )
 
 
+def _agreed_layout(path: str, present: StructType, brought: StructType, keys: Sequence[str], evolve: bool) -> StructType:
+    """The layout of a table after an upsert of ``brought``."""
+    if {f.name: f.dataType for f in present} == {f.name: f.dataType for f in brought}:
+        return present
+    if not evolve:
+        raise TableLayoutError(f"{path} has the columns {declared(present)}; the source has {declared(brought)}")
+    layout = merged_layout(present, brought)
+    if any(layout[k].dataType != side[k].dataType for k in keys for side in (present, brought)):
+        raise TableLayoutError(f"{path}: a key column changes its type")
+    return layout
+
+
 def vacuum(spark: SparkSession, path: str) -> list[str]:
     """Delete the version folders that the pointer no longer names; run it when no reader holds an older one."""
     pointer = _pointer(spark, path)

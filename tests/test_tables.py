@@ -12,7 +12,7 @@ from lakecare.operators.quality import EmptySourceError
 from lakecare.plans import ingest
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS
 from lakecare.session import scratch_path, shared_folder
-from lakecare.sinks import tables
+from lakecare.sinks import evolution, tables
 from lakecare.sources import batch, control
 
 
@@ -295,3 +295,51 @@ def test_owned_scratch_is_deleted_at_the_end(spark):
         raise RuntimeError
     assert not os.path.exists(os.path.dirname(inner.removeprefix("file://")))
     assert kept.count() == 3
+
+
+def test_upserts_add_columns_and_widen_types(spark, folder):
+    path = f"{folder}/t"
+    first = spark.range(200).select("id", F.col("id").cast("int").alias("n"), F.lit("2024-01-01").cast("date").alias("d"))
+    tables.upsert_bucketed(spark, path, first, ["id"], buckets=8)
+    before = {f for f in os.listdir(f"{path}/versions")}
+    more = spark.createDataFrame([(3, 2**40, "new"), (500, 1, "new")], "id bigint, n bigint, s string")
+    with pytest.raises(tables.TableLayoutError):
+        tables.upsert_bucketed(spark, path, more, ["id"], buckets=8)
+    tables.upsert_bucketed(spark, path, more, ["id"], buckets=8, evolve=True)
+    narrow = spark.createDataFrame([(7, 9)], "id bigint, n int")
+    tables.upsert_bucketed(spark, path, narrow, ["id"], buckets=8, evolve=True)
+    got = {r["id"]: (r["n"], r["d"], r["s"]) for r in tables.read_table(spark, path).collect()}
+    assert len(got) == 201 and got[3] == (2**40, None, "new") and got[500] == (1, None, "new") and got[7] == (9, None, None)
+    assert got[8] == (8, dt.date(2024, 1, 1), None)
+    assert [(c["name"], c["type"], c["since"]) for c in tables.table_columns(spark, path)] == [
+        ("id", "bigint", 1), ("n", "bigint", 2), ("d", "date", 1), ("s", "string", 2)
+    ]
+    assert before <= set(os.listdir(f"{path}/versions"))  # untouched buckets keep their files
+    tables.vacuum(spark, path)
+    assert tables.read_table(spark, path).count() == 201
+    with pytest.raises(ValueError, match="date"):
+        tables.upsert_bucketed(spark, path, spark.createDataFrame([(1, "x")], "id bigint, d string"), ["id"], buckets=8, evolve=True)
+    with pytest.raises(tables.TableLayoutError, match="key"):
+        tables.upsert_bucketed(spark, path, spark.createDataFrame([(1, 1)], "id int, n int"), ["id"], buckets=8, evolve=True)
+
+
+def test_versioned_upsert_evolves_too(spark, folder):
+    path = f"{folder}/v"
+    tables.upsert_table(spark, path, spark.createDataFrame([(1, 1.5), (2, 2.5)], "id int, x float"), ["id"])
+    tables.upsert_table(spark, path, spark.createDataFrame([(2, 0.1, "y")], "id int, x double, s string"), ["id"], evolve=True)
+    assert rows(tables.read_table(spark, path)) == [(1, 1.5, None), (2, 0.1, "y")]
+
+
+@pytest.mark.parametrize(
+    "old,new,both",
+    [
+        ("int", "bigint", "bigint"), ("bigint", "smallint", "bigint"), ("int", "double", "double"), ("bigint", "double", None),
+        ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"), ("bigint", "decimal(10,2)", "decimal(21,2)"), ("date", "timestamp", "timestamp"),
+        ("string", "int", None), ("decimal(38,0)", "decimal(38,10)", None),
+    ],
+)
+def test_wider_types(old, new, both):
+    kinds = [StructType.fromDDL(f"x {t}")["x"].dataType for t in (old, new)]
+    for a, b in (kinds, kinds[::-1]):
+        got = evolution.wider(a, b)
+        assert (got and got.simpleString()) == both
