@@ -140,7 +140,10 @@ class LeafTree:
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vector) of the rows that take part: ids and vectors without nulls, finite, not zero, of the commonest length."""
+    """(vec_id, vector) of the rows that take part: ids and vectors without nulls, finite, not zero, all as wide as the widest.
+
+    A shorter vector is filled up with zeros.
+    """
     vector = F.col("embedding").cast("array<double>")
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).where(
         "vec_id IS NOT NULL AND vector IS NOT NULL AND size(vector) > 0"
@@ -149,8 +152,11 @@ def usable(embeddings: DataFrame) -> DataFrame:
         "vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     )
     rows = rows.where(~odd & F.exists("vector", lambda x: x != 0))
-    common = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size("vector") == common[0]["n"]) if common else rows.limit(0)
+    least, most = rows.agg(F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    if least == most:
+        return rows
+    missing = F.array_repeat(F.lit(0.0), F.lit(most) - F.size("vector"))
+    return rows.withColumn("vector", F.concat("vector", missing))
 
 
 def _salted(rows: DataFrame, counts: list[int], most: int, key: Column, name: str) -> DataFrame:
@@ -210,27 +216,39 @@ def nearest(
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows found for each row that ``is_query`` selects.
 
     ``is_query`` is a condition on ``vec_id``. All other rows are candidates, by Euclidean
-    distance in double precision, ties to the smaller vec_id. Rows whose vector is null, zero,
-    not finite, holds a null, or has another than the commonest length take no part. Of exactly
-    equal vectors only the ``k + 1`` smallest ids can be among anyone's nearest, so others of
-    them are left out. Repeated ids count as rows of their own. Other columns are not read.
+    distance in double precision, ties to the smaller vec_id. Rows whose vector is null, empty, zero,
+    not finite or holds a null take no part; of unequal lengths, the shorter vector is compared as if it
+    ended in zeros. Of exactly equal vectors only the ``k + 1`` smallest ids can be among anyone's
+    nearest, so others of them are left out. Rows equal in id and vector count once. Rows that share
+    only their id are candidates of their own, but none for that id's query, which is made with the
+    smallest of their vectors. An empty table gives no rows. Other columns are not read.
     """
     spark = embeddings.sparkSession
     ship(spark)
-    # k + 1 of a group of equal vectors: the window keeps that many per task before it shuffles
+    # k + 1 ids of a group of equal vectors: the window keeps few per task before it shuffles
     same = Window.partitionBy("vector").orderBy("vec_id")
     rows = usable(embeddings)
-    points = stage(rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n"), "ann-vectors")
+    few = rows.withColumn("n", F.dense_rank().over(same)).where(F.col("n") <= k + 1).drop("n")
+    points = stage(few.dropDuplicates(["vector", "vec_id"]), "ann-vectors")
     total = points.count()
     if total == 0:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = points.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE_ROWS / total))))
-    drawn = sample.select("vector").limit(2 * SAMPLE_ROWS).toPandas()["vector"]
-    if not len(drawn):
-        drawn = points.select("vector").limit(1).toPandas()["vector"]
-    width = len(drawn[0])
-    basis = projection(width, dimensions, seed)
-    tree = UpperTree.fit(np.stack(drawn.to_numpy()) @ basis, min(MOST_LEAVES, -(-total // leaf_rows)))
+    width = points.select(F.size("vector")).first()[0]
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plane = projection(width, dimensions, seed)
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"point": list(np.stack(batch["vector"].to_numpy()) @ plane)})
+
+    def projected(chosen: DataFrame, most: int) -> np.ndarray:
+        """A few numbers for each of at most ``most`` rows; the vectors stay where they are."""
+        found = chosen.select("vector").mapInPandas(project, "point array<double>").limit(most).toPandas()["point"]
+        return np.stack(found.to_numpy()) if len(found) else np.zeros((0, dimensions))
+
+    drawn = projected(sample, 2 * SAMPLE_ROWS)
+    tree = UpperTree.fit(drawn if len(drawn) else projected(points, 1), min(MOST_LEAVES, -(-total // leaf_rows)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plane = projection(width, dimensions, seed)
@@ -250,7 +268,8 @@ def nearest(
     stop = chi_square_quantile(certainty, dimensions)
     blocks = _salted(dealt.select("leaf", "vec_id", "vector"), sizes, BLOCK_ROWS, F.col("vec_id"), "block")
     # queries are all selected rows, also those beyond the k + 1 of a group of equal vectors
-    queries = stage(rows.where(is_query).mapInPandas(deal, "vec_id long, vector array<double>, leaf int, point array<double>"), "ann-queries")
+    asking = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    queries = stage(asking.mapInPandas(deal, "vec_id long, vector array<double>, leaf int, point array<double>"), "ann-queries")
     queries = queries.withColumnRenamed("vec_id", "query_id")
 
     home = queries.select("leaf", "query_id", "vector", F.lit(float("inf")).alias("reach"))

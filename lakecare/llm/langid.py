@@ -17,13 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakecare.llm.common import ship
 
 FEATURES = 4096
 ORDERS = (1, 2, 3)
-PER_LANGUAGE = 500
-MOST_LANGUAGES = 256
+#: Labelled rows that the fit looks at: per language, and about as many altogether.
+PER_LANGUAGE, FIT_ROWS = 500, 64_000
 UNKNOWN = "und"
 #: Relative distance between the best and the second-best codeword below which a call is ambiguous.
 CLOSE = 0.05
@@ -129,16 +130,17 @@ def fit(vectors: np.ndarray, labels: list[str], rounds: int = 200, ridge: float
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
-    """A model of the languages in ``labelled(doc_id, text, lang)``; None if there is no usable row.
+    """A model of all languages in ``labelled(doc_id, text, lang)``; None if there is no usable row.
 
-    At most ``per_language`` rows per language are expected in the sample, and never more than
-    twice that; the ``MOST_LANGUAGES`` most frequent languages are learned.
+    The sample holds about ``per_language`` rows per language, fewer if all languages together would
+    come to more than ``FIT_ROWS``, and never more than twice that, but at least a row expected of each.
     """
     ship(labelled.sparkSession)
     usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = usable.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return None
+    per_language = max(1, min(per_language, FIT_ROWS // len(counts)))
     rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     sample = usable.where(place < rates[F.col("lang")]).select("lang", "text")
@@ -172,16 +174,17 @@ RESULT = "lang_pred string, score double, ambiguous boolean"
 
 
 def identify(documents: DataFrame, model: LanguageModel | None, chunk: int = 512) -> DataFrame:
-    """``doc_id`` (and ``held_out``, if given) of every row with lang_pred, score in [0, 1] and ambiguous.
+    """All columns but the text of every row, with lang_pred, score in [0, 1] and ambiguous.
 
-    A null text, one without a letter, and any text without a model give ``und`` with score 0,
-    not ambiguous. Repeated rows are predicted alike. ``lang`` and ``source`` are not read.
+    A null or empty text, one without a letter, and any text without a model give ``und`` with score 0,
+    not ambiguous. Texts of any length are read whole. Of two languages equally near, the first by
+    name is predicted, and flagged. Repeated rows are predicted alike, an empty table gives no rows.
+    No column but the text bears on a prediction; columns named like the results give way to them.
     """
     spark = documents.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in documents.columns if c != "text"]
-    types = dict(documents.dtypes)
+    kept = [c for c in documents.columns if c != "text" and c not in RESULT_NAMES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
@@ -199,8 +202,9 @@ def identify(documents: DataFrame, model: LanguageModel | None, chunk: int = 512
                 out = [pa.array(langs, pa.string()), pa.array(scores), pa.array(close)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *out], [*kept, *RESULT_NAMES])
 
-    schema = ", ".join([f"{c} {types[c]}" for c in kept] + [RESULT])
-    return documents.select(*kept, "text").mapInArrow(run, schema)
+    carried = documents.select(*[F.col(f"`{c}`") for c in kept], "text")
+    schema = StructType([*carried.schema.fields[:-1], *StructType.fromDDL(RESULT).fields])
+    return carried.mapInArrow(run, schema)
 
 
 RESULT_NAMES = ("lang_pred", "score", "ambiguous")

@@ -3,7 +3,8 @@
 Each source's words are counted, its target is its weight's share of all words, and no target
 exceeds ``most`` times what the source has; what is cut off goes to the other sources by
 weight. A document is then taken floor(rate) times, and once more if a number drawn from a hash
-of its id falls below the rate's fraction, so a rerun takes the same copies.
+of its id, its text and its place among equal rows falls below the rate's fraction, so a rerun
+takes the same copies.
 """
 
 from __future__ import annotations
@@ -25,10 +26,14 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the first 52 bits of an MD5 of the seed and the id; null ids draw as the empty id."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
+def text_digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def draw(doc_id: Column, digest: Column, place: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the first 52 bits of an MD5 of the seed, the id (a null one is empty), the digest and the place."""
+    shown = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), digest, place.cast("string"))
+    return F.conv(F.substring(F.md5(shown), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -63,19 +68,30 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: f
     )
 
 
-def copies(rate: Column, doc_id: Column, seed: str = SEED) -> Column:
-    return (F.floor(rate) + F.when(draw(doc_id, seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+def copies(rate: Column, drawn: Column) -> Column:
+    return (F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+
+
+#: What equal rows share; the source is part of it, as each has a rate of its own.
+EQUAL = ("doc_id", "source", "digest")
+
+
+def place_among_equals() -> Column:
+    return F.row_number().over(Window.partitionBy(*EQUAL).orderBy(F.lit(1)))
 
 
 def mix(documents: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, copies) for every row of ``documents``.
 
     Null texts have size 0, as have blank ones; a source without words has target 0; a null
-    source is a source of its own. Repeated rows are drawn alike.
+    source is a source of its own. Rows that agree in id, source and text are drawn one by one.
+    Very long texts count whole; an empty table gives no rows; other columns are not read.
     """
-    sizes = stage(documents.select("doc_id", "source", words(F.col("text")).alias("size")), "mix-sizes")
+    text = F.col("text")
+    sizes = stage(documents.select("doc_id", "source", words(text).alias("size"), text_digest(text).alias("digest")), "mix-sizes")
     targets = stage(source_targets(sizes, weights, most), "mix-targets")
-    joined = sizes.alias("d").join(targets.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+    placed = sizes.withColumn("place", place_among_equals())
+    joined = placed.alias("d").join(targets.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     return joined.select(
         "d.doc_id",
         "d.source",
@@ -83,14 +99,29 @@ def mix(documents: DataFrame, weights: Sequence[float] = WEIGHTS, most: float =
         "s.source_size",
         "s.target",
         "s.rate",
-        copies(F.col("s.rate"), F.col("d.doc_id"), seed).alias("copies"),
+        copies(F.col("s.rate"), draw(F.col("d.doc_id"), F.col("d.digest"), F.col("d.place"), seed)).alias("copies"),
     )
 
 
 def emit(documents: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """The rows of ``documents``, each as often as the mix takes it."""
-    sizes = documents.select("source", words(F.col("text")).alias("size"))
-    targets = stage(source_targets(sizes, weights, most), "mix-targets").select(F.col("source").alias("_source"), "rate")
-    joined = documents.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-    times = joined.withColumn("_copies", copies(F.col("rate"), F.col("doc_id"), seed)).where("_copies > 0")
-    return times.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*documents.columns)
+    """The rows of ``documents``, each as often as ``mix`` takes it.
+
+    All columns are kept, whatever their names; an empty table stays empty. Only rows that have
+    equals are shuffled, to be numbered among them; they are found by their ids, sources and digests alone.
+    """
+    text = F.col("text")
+    sizes = stage(documents.select("doc_id", "source", words(text).alias("size"), text_digest(text).alias("digest")), "mix-sizes")
+    targets = stage(source_targets(sizes, weights, most), "mix-targets").select(F.col("source").alias("of"), "rate")
+    doubled = stage(sizes.groupBy(*EQUAL).count().where("count > 1").select(*EQUAL), "mix-repeated")
+    packed = documents.select(F.struct("*").alias("doc"), "doc_id", "source", text_digest(text).alias("digest"))
+    if doubled.isEmpty():
+        placed = packed.withColumn("place", F.lit(1))
+    else:
+        p, d = packed.alias("p"), doubled.alias("d")
+        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"d.{c}")) for c in EQUAL]
+        several = p.join(d, same, "left_semi").withColumn("place", place_among_equals())
+        placed = p.join(d, same, "left_anti").withColumn("place", F.lit(1)).unionByName(several)
+    joined = placed.join(targets, F.col("source").eqNullSafe(F.col("of")))
+    drawn = draw(F.col("doc_id"), F.col("digest"), F.col("place"), seed)
+    times = joined.withColumn("copies", copies(F.col("rate"), drawn)).where("copies > 0")
+    return times.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -168,7 +168,8 @@ def _mixing_sql() -> str:
     weights = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mixing.WEIGHTS))
     return f"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}'))::BIGINT AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}'))::BIGINT AS size, md5(coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) AS place FROM documents),
 each AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
 weighed AS (
   SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} {weights} END::DOUBLE AS weight,
@@ -183,7 +184,7 @@ targets AS (
 rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets),
 drawn AS (
   SELECT doc_id, size, source_size, target, rate,
-    ('0x' || md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, ''))[1:13])::BIGINT::DOUBLE / {float(2**52)} AS draw
+    ('0x' || md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || place)[1:13])::BIGINT::DOUBLE / {float(2**52)} AS draw
   FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source)
 SELECT doc_id, size, source_size, target,
   (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM drawn"""

@@ -1,9 +1,10 @@
 """Secret scan over an incremental ledger of content-addressed texts, in DataFrame operations only.
 
-Every version of every path is addressed by the SHA-256 of its text. The ledger holds two
-tables: ``scanned``, the pairs of blob and rule version already looked at, and ``findings``,
-their hits. A scan runs only the rules a blob has not met yet, on one row of each such blob,
-and the findings are joined back to every path that holds the blob.
+Every version of every path is addressed by the SHA-256 of its text. The ledger holds three
+tables: ``paths``, every path with each blob it ever held and the scan that first saw it there;
+``scanned``, the pairs of blob and rule version already looked at; ``findings``, their hits. A scan
+runs only the rules a blob has not met yet, on one row of each such blob, and the findings are
+joined back to the paths that hold the blob now, or to all that ever held it.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakecare.llm.common import whole_text
 from lakecare.llm.urlfilter import ENTRIES_PER_BLOCK, MOST_BLOCKS, bloom_filter, flag_possible
 from lakecare.session import scratch_path, stage
+from lakecare.sinks.tables import path_exists
 
 PLACEHOLDER = "[secret]"
 
@@ -50,6 +51,7 @@ RULES = (
 
 SCANNED = "blob string, rule string, version int"
 FINDINGS = "blob string, rule string, version int, start int, end int"
+PATHS = "path string, blob string, scan int"
 
 
 def blob_of(text: Column) -> Column:
@@ -57,10 +59,8 @@ def blob_of(text: Column) -> Column:
 
 
 def _ledger(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/{name}")
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    folder = f"{path}/{name}"
+    return spark.read.schema(schema).parquet(folder) if path_exists(spark, folder) else spark.createDataFrame([], schema)
 
 
 def _measured(rule: Rule) -> Callable[[Column, Column], Column]:
@@ -103,13 +103,15 @@ def scan(
     A stopped run is mended by repeating it: findings are written before the pairs they come
     from count as scanned, and readers take each finding once. Null and empty texts share one
     blob. Repeated rows are scanned as often as the one chosen row of a blob is repeated, with
-    the same findings.
+    the same findings. The ledger keeps paths as text. An empty table changes nothing; very long
+    texts are scanned whole; other columns are not read.
     """
     spark = documents.sparkSession
     texts = documents.select(F.col(path).alias("path"), whole_text(text).alias("text")).withColumn(
         "blob", blob_of(F.col("text"))
     )
     versions = stage(texts.select("path", "blob"), "secret-versions")
+    _remember(versions, ledger)
     known = F.array(*[F.lit(f"{r.name}/{r.version}") for r in rules])
     seen = (
         _ledger(spark, ledger, "scanned", SCANNED)
@@ -149,6 +151,31 @@ def scan(
     return versions
 
 
+def _remember(versions: DataFrame, ledger: str) -> None:
+    """Add the pairs of path and blob that no scan has seen to the ledger, under this scan's number."""
+    known = _ledger(versions.sparkSession, ledger, "paths", PATHS)
+    scan_number = (known.agg(F.max("scan")).first()[0] or 0) + 1
+    held = versions.select(F.col("path").cast("string").alias("path"), "blob").distinct()
+    if scan_number > 1:
+        n, k = held.alias("n"), known.alias("k")
+        same = (F.col("n.blob") == F.col("k.blob")) & F.col("n.path").eqNullSafe(F.col("k.path"))
+        held = n.join(k, same, "left_anti")
+    held.withColumn("scan", F.lit(scan_number)).write.mode("append").parquet(f"{ledger}/paths")
+
+
+def exposures(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """(path, blob, scan, rule, start, end): every finding at every path that ever held its blob.
+
+    A path that no longer holds the secret is still there, as is one that is gone: the text was
+    published once. ``scan`` is the scan that first saw the blob at the path.
+    """
+    versions = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.lit(r.version))])
+    found = _ledger(spark, ledger, "findings", FINDINGS).where(F.col("version") == versions[F.col("rule")])
+    return _ledger(spark, ledger, "paths", PATHS).join(found.drop("version").distinct(), "blob").select(
+        "path", "blob", "scan", "rule", "start", "end"
+    )
+
+
 def spans_by_blob(spark: SparkSession, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
     """(blob, spans) for blobs with findings of these rule versions; spans ordered by start, then kind as listed."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"{r.name}/{r.version}"), F.lit(i))])
@@ -188,14 +215,12 @@ def redact(documents: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) ->
     """``documents`` with each span, or run of overlapping spans, replaced by a placeholder.
 
     ``n_chars`` follows the new text. Rows without findings stay as they are, null texts too.
+    Repeated rows stay repeated; all columns are kept, whatever their names; an empty table stays empty.
     """
     spark = documents.sparkSession
     scan(documents.select("doc_id", "text"), ledger, rules)
-    found = stage(
-        spans_by_blob(spark, ledger, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")),
-        "secret-spans",
-    )
-    text = F.col("text")
+    found = stage(spans_by_blob(spark, ledger, rules), "secret-spans")
+    text = F.col("doc.text")
 
     def step(done: Column, span: Column) -> Column:
         fresh = span["start"] >= done["at"]
@@ -204,15 +229,14 @@ def redact(documents: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) ->
         return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    stitched = F.aggregate("_spans", start, step, lambda d: F.concat(d["out"], text.substr(d["at"] + 1, F.length(text))))
+    stitched = F.aggregate("spans", start, step, lambda d: F.concat(d["out"], text.substr(d["at"] + 1, F.length(text))))
     # a bounded filter of the blobs with findings spares all other texts the join
     blocks = max(1, min(MOST_BLOCKS, -(-found.count() // ENTRIES_PER_BLOCK)))
-    bloom = bloom_filter(found.select(F.col("_blob").alias("key")), blocks)
-    marked = flag_possible(documents.withColumn("_blob", blob_of(whole_text())), "_blob", bloom, blocks, "_may")
-    joined = marked.where("_may").join(found, "_blob", "left")
-    kept = F.col("_spans").isNull()
-    length = F.when(kept, F.col("n_chars")).otherwise(F.length("_stitched").cast("long"))
-    changed = joined.withColumn("_stitched", F.when(~kept, stitched)).withColumns(
-        {"text": F.when(kept, text).otherwise(F.col("_stitched")), "n_chars": length}
-    )
-    return marked.where("NOT _may").select(*documents.columns).unionByName(changed.select(*documents.columns))
+    bloom = bloom_filter(found.select(F.col("blob").alias("key")), blocks)
+    packed = documents.select(F.struct("*").alias("doc"), blob_of(whole_text()).alias("blob"))
+    marked = flag_possible(packed, "blob", bloom, blocks, "possible")
+    joined = marked.where("possible").join(found, "blob", "left").withColumn("stitched", F.when(F.col("spans").isNotNull(), stitched))
+    length = F.when(F.col("spans").isNull(), F.col("doc.n_chars")).otherwise(F.length("stitched").cast("long"))
+    renewed = F.col("doc").withField("text", F.when(F.col("spans").isNull(), text).otherwise(F.col("stitched")))
+    changed = joined.select(renewed.withField("n_chars", length).alias("doc"))
+    return marked.where("NOT possible").select("doc").unionByName(changed).select("doc.*")

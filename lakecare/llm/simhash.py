@@ -311,18 +311,21 @@ def near_duplicates(
 
 
 def keep_first(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each group of near-duplicates: its smallest doc_id (null last), then text hash."""
+    """One row of each group of near-duplicates: its smallest doc_id (null last), then text hash.
+
+    Of rows with that id and text any one stays. Null and empty texts are one group with blank ones.
+    All columns are kept, whatever their names; an empty table stays empty.
+    """
     found = near_duplicates(documents, shingle, distance)
     group = F.struct(F.col("component_id").alias("id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first")
-    kept = found.groupBy(group.alias("group")).agg(first).select("first.doc_id", "first.text_hash")
-    kept = stage(_keyed(kept.distinct()).select("_id", "_unnamed", "text_hash"), "simhash-kept")
-    hashed = _keyed(documents.withColumn("_text_hash", F.xxhash64("text")))
-    key = ["_id", "_unnamed", "_text_hash"]
-    rows = hashed.join(kept.withColumnRenamed("text_hash", "_text_hash"), key, "left_semi")
-    return rows.dropDuplicates(key).select(*documents.columns)
+    kept = found.groupBy(group.alias("group")).agg(first).select("first.doc_id", "first.text_hash").distinct()
+    kept = stage(kept.select(*_key(F.col("doc_id")), "text_hash"), "simhash-kept")
+    # the id in two columns without nulls, so that joining and deduplicating share one shuffle
+    packed = documents.select(F.struct("*").alias("doc"), *_key(F.col("doc_id")), F.xxhash64("text").alias("text_hash"))
+    key = ["id", "unnamed", "text_hash"]
+    return packed.join(kept, key, "left_semi").dropDuplicates(key).select("doc.*")
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    """The id in two columns without nulls, so that joining and deduplicating share one shuffle."""
-    return df.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_unnamed": F.col("doc_id").isNull()})
+def _key(doc_id: Column) -> list[Column]:
+    return [F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("unnamed")]
