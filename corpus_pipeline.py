@@ -25,9 +25,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.train(docs.where(~held).select("doc_id", "text", "lang"))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.identify(docs.select("*", F.col("text").alias("_text")).select("_text", *docs.columns), model)
+    found = langid.identify(docs.select(F.struct("*").alias("doc"), "text"), model)
     kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous"))
-    return kept.withColumn("text", F.col("_text")).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return kept.select(F.col("doc").withField("lang", F.col("lang_pred")).alias("doc")).select("doc.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
