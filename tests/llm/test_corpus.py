@@ -280,7 +280,7 @@ def test_neighbours_against_brute_force(spark):
     vectors = centres[random.integers(0, 12, 3000)] + 0.4 * random.standard_normal((3000, 24))
     vectors[1000:1200] = vectors[1000]
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
-    rows += [(5000, None), (5100, [0.0] * 24), (5200, [float("nan")] * 24), (5300, [None, *[1.0] * 23]), (5400, [1.0]), (None, rows[0][1])]
+    rows += [(5000, None), (5100, [0.0] * 24), (5200, [float("nan")] * 24), (5300, [None, *[1.0] * 23]), (5401, [1.0]), (None, rows[0][1])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("leaf", F.lit(9)).repartition(4)
     found = ann.nearest(table, F.col("vec_id") % 100 == 0, leaf_rows=400).collect()
     got = {}
@@ -340,8 +340,7 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
-    docs = documents(spark, ["Don't <|endoftext|> stop, ΣΑΣ naïve İ ½ 3.14..., x\x1cy\u2028z", "word " * 9000])
+    docs = documents(spark, ["a <|endoftext|> b<|endoftext|>.", "Don't <|endoftext|> stop, ΣΑΣ naïve İ ½ 3.14..., x\x1cy\u2028z", "word " * 9000])
     pieces = packing.pack_documents(docs, capacity=64, group_tokens=3000).collect()
     texts = Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
     ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in texts}
@@ -366,6 +365,7 @@ def test_packing_round_trip(spark):
 def test_chunk_tokenizer_equals_the_plain_one():
     random = np.random.default_rng(6)
     letters = list("aAbBéÉßσςΣİı'stredmvl.,!-_#12½Ⅳ中が̸́가 \n\t\x1c\x85\xa0\u2028ñǅ")
+    letters += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "***", "''", "](", "`", "ÿ.", "×"]
     texts = ["".join(random.choice(letters, random.integers(0, 60))) for _ in range(3000)]
     tokenizer = packing.ChunkTokenizer(packing.default_tokenizer(), memory=500)
     for at in range(0, len(texts), 500):
