@@ -388,6 +388,7 @@ FINAL: dict[str, str] = {
     "fact_admissions_hot_keys": "SELECT * FROM fact",
     "agg_hospital_metrics": "SELECT * FROM metrics",
     "hospital_metrics_by_admission": _hospital_metrics("admissions"),
+    "hospital_metrics_incremental": _hospital_metrics("admissions"),
     "agg_disease_burden": f"""
         SELECT *, CASE WHEN avg_length_of_stay > 14 THEN 'Severe' WHEN avg_length_of_stay > 7 THEN 'Moderate' ELSE 'Mild' END
                AS disease_severity, {AS_OF_TS} AS _processed_at
@@ -557,6 +558,27 @@ FINAL: dict[str, str] = {
             "age", "length_of_stay", "total_amount", "coverage_ratio", "risk_score", "admission_month", "is_weekend_admission",
         )
     ),
+    "rank_metrics": """
+        SELECT max(p) AS positives, max(n) AS negatives, round(CAST(sum(neg * (2 * pos_before + pos)) AS DOUBLE) / 2 / (max(p) * max(n)), 9) AS area_under_roc,
+               round(sum(pos * (precision + last) / 2) / max(p), 9) AS area_under_pr,
+               round(max(abs((pos_before + pos) / p - (neg_before + neg) / n)), 9) AS best_ks
+        FROM (SELECT *, (pos_before + pos) / (pos_before + pos + neg_before + neg) AS precision,
+                     CASE WHEN pos_before + neg_before > 0 THEN pos_before / (pos_before + neg_before)
+                          ELSE pos / (pos + neg) END AS last
+              FROM (SELECT *, sum(pos) OVER o - pos AS pos_before, sum(neg) OVER o - neg AS neg_before,
+                           sum(pos) OVER () AS p, sum(neg) OVER () AS n
+                    FROM (SELECT risk_score, count(*) FILTER (WHERE readmission_flag) AS pos, count(*) FILTER (WHERE NOT readmission_flag) AS neg
+                          FROM dim WHERE readmission_flag IS NOT NULL AND risk_score IS NOT NULL GROUP BY risk_score)
+                    WINDOW o AS (ORDER BY risk_score DESC)))""",
+    "nested_bundle_claims": """
+        SELECT patient_id, CAST(admission_date AS DATE) AS admission_date, claim_id, total_amount, insurance_covered,
+               CAST(submitted_date AS DATE) AS submitted_date, TRY_CAST(processed_date AS DATE) AS processed_date, trim(diagnosis_code) AS first_code,
+               CASE WHEN TRY_CAST(processed_date AS DATE) IS NULL THEN '"' || processed_date || '"' END AS raw_processed,
+               '{"type":"' || claim_type || '"}' AS extra
+        FROM raw_claims WHERE admission_date NOT LIKE '%-13'""",
+    "nested_bundle_rejects": """
+        SELECT left(admission_date, 7) AS month, count(*) AS documents
+        FROM (SELECT DISTINCT patient_id, admission_date FROM raw_claims WHERE admission_date LIKE '%-13') GROUP BY month""",
     "risk_band_distribution": """
         SELECT CASE WHEN risk_score / 100 >= 0.7 THEN 'Very High' WHEN risk_score / 100 >= 0.5 THEN 'High'
                     WHEN risk_score / 100 >= 0.3 THEN 'Medium' ELSE 'Low' END AS risk_band, count(*) AS patients

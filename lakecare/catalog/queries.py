@@ -13,15 +13,15 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 
 from lakecare.functions import rules
 from lakecare.functions.clock import run_date_folder
-from lakecare.ml import readmission
+from lakecare.ml import ranking, readmission
 from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.merge import merge_upsert
 from lakecare.operators.quality import EmptySourceError, date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
-from lakecare.plans import gold, ingest, jobs, serving, silver
+from lakecare.plans import gold, incremental, ingest, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD_PARTITIONS, VITALS_EVENT
 from lakecare.session import scratch_path, stage, streaming_session
 from lakecare.sinks import tables
-from lakecare.sources import batch, control, rescue, retail
+from lakecare.sources import batch, bundles, control, rescue, retail
 from lakecare.streaming import fanout, landing, vitals as streams
 
 AS_OF, RUN_DATE = "2001-08-01 00:00:00", "2001-08-01"
@@ -194,6 +194,52 @@ def json_landed_scan(lake: Lake) -> DataFrame:
     return rows.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
+#: Declared fields of a claim in a landed bundle.
+CLAIM_FIELDS = {
+    "claim_id": ("$.claim.id", "string"),
+    "total_amount": ("$.claim.amount.total", "double"),
+    "insurance_covered": ("$.claim.amount.covered", "double"),
+    "submitted_date": ("$.submitted", "date"),
+    "processed_date": ("$.processed", "date"),
+    "first_code": ("$.codes[0].code", "string"),
+}
+
+
+def _bundles(lake: Lake) -> DataFrame:
+    """Claims as landed bundles, one per patient and admission day, some documents cut short."""
+    base = scratch_path(lake.spark, "bundles")
+    amount = F.struct(F.col("total_amount").alias("total"), F.col("insurance_covered").alias("covered"))
+    entry = F.struct(
+        F.struct(F.col("claim_id").alias("id"), amount.alias("amount")).alias("claim"),
+        F.col("submitted_date").alias("submitted"),
+        F.col("processed_date").alias("processed"),
+        F.array(F.struct(F.trim("diagnosis_code").alias("code")), F.struct(F.col("procedure_code").alias("code"))).alias("codes"),
+        F.struct(F.col("claim_type").alias("type")).alias("extra"),
+    )
+    grouped = lake.raw_claims.groupBy("patient_id", "admission_date").agg(F.collect_list(entry).alias("entry"))
+    whole = F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), "patient_id", "admission_date", F.struct("entry").alias("data")))
+    cut = F.when(F.col("admission_date").endswith("-13"), whole.substr(F.lit(1), F.length(whole) - 2)).otherwise(whole)
+    grouped.select(cut.alias("value")).write.text(base)
+    return bundles.read_bundles(lake.spark, base)
+
+
+@query
+def nested_bundle_claims(lake: Lake) -> DataFrame:
+    """Typed claims out of nested bundles, with the cells that no type could hold and the undeclared fields."""
+    header = {"patient_id": ("$.patient_id", "string"), "admission_date": ("$.admission_date", "date")}
+    rows = bundles.bundle_entries(_bundles(lake), "$.data.entry", CLAIM_FIELDS, header)
+    raw, rest = F.col(rescue.RESCUED)["processed_date"], F.col(bundles.UNKNOWN)["extra"]
+    return rows.select(*header, *CLAIM_FIELDS, raw.alias("raw_processed"), rest.alias("extra"))
+
+
+@query
+def nested_bundle_rejects(lake: Lake) -> DataFrame:
+    """Documents that are no JSON, counted by the admission month they still show."""
+    text = F.col(bundles.CORRUPT)
+    month = F.regexp_extract(text, '"admission_date":"([0-9]{4}-[0-9]{2})', 1)
+    return bundles.corrupt_bundles(_bundles(lake)).groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("documents"))
+
+
 @query
 def csv_landing_stream(lake: Lake) -> DataFrame:
     base = scratch_path(lake.spark, "landing")
@@ -474,6 +520,16 @@ def hospital_metrics_by_admission(lake: Lake) -> DataFrame:
     return gold.agg_hospital_metrics(lake.admissions, AS_OF, RUN_DATE)
 
 
+@query
+def hospital_metrics_incremental(lake: Lake) -> DataFrame:
+    """The metrics of all admissions, folded into stored states in two batches, one of them sent twice."""
+    path = scratch_path(lake.spark, "states")
+    for number in (0, 1, 1):
+        part = lake.admissions.where(F.col("record_id") % 2 == number)
+        incremental.fold_batch(lake.spark, path, part, number, buckets=8)
+    return incremental.current_metrics(lake.spark, path, AS_OF, RUN_DATE)
+
+
 @query
 def agg_disease_burden(lake: Lake) -> DataFrame:
     return gold.by_patient_count(gold.agg_disease_burden(lake.patients, AS_OF))
@@ -920,6 +976,12 @@ def scaler_summary(lake: Lake) -> DataFrame:
     return found.select("feature", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
 
 
+@query
+def rank_metrics(lake: Lake) -> DataFrame:
+    """How well the rule-based risk score ranks readmitted patients."""
+    return ranking.rank_metrics(lake.dim, "readmission_flag", "risk_score")
+
+
 @query
 def risk_band_distribution(lake: Lake) -> DataFrame:
     scored = lake.dim.select(rules.risk_band(F.col("risk_score") / 100).alias("risk_band"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecare.operators.joins import hot_keys, hot_threshold, small
-from lakecare.session import pin
+from lakecare.session import pin, stage
 
 
 def _plain(df: DataFrame, keys: list[str], order: list[str], ordinal: str, successors: dict[str, str]) -> DataFrame:
@@ -75,3 +75,20 @@ def number_in_order(
     cold = _plain(df.join(wanted, keys, "left_anti"), keys, order, ordinal, successors)
     split = _sliced(df.join(wanted, keys, "left_semi"), keys, order, ordinal, successors, slices)
     return cold.unionByName(split)
+
+
+def ranked(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
+    """Add the 0-based rank of each row in the total ``order``, nulls first; no task holds more than a range of rows.
+
+    Rows are written once in sorted ranges, so that ranks stay what they are on every later use. Only one
+    count per range passes through a single task.
+    """
+    row_bits = 33  # of the ids that are given out within one partition
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("_part", F.shiftright("_at", row_bits))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    within = F.col("_at").bitwiseAND(F.lit((1 << row_bits) - 1))
+    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, (F.col("_before") + within).alias(name))
