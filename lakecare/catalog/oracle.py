@@ -521,6 +521,15 @@ FINAL: dict[str, str] = {
         SELECT label, count(*) AS rows, count(*) AS sound, count(*) AS banded, count(DISTINCT patient_id) AS patients
         FROM features GROUP BY label""",
     "run_metrics_log": "SELECT 'run-1' AS run_id, 3 AS params, 4 AS metrics, count(*) AS rows, 4 AS sound FROM features",
+    "interleaved_file_ranges": "SELECT unnest(['claim_id', 'patient_id']) AS column_name, TRUE AS narrow, TRUE AS cut",
+    "copy_mismatches": """
+        SELECT record_id, ward, 'one' AS side, 1 AS copies FROM raw_patients WHERE record_id % 1009 = 3 AND record_id % 1013 <> 5 AND ward <> 'moved'
+        UNION ALL SELECT record_id, ward, 'one', 1 FROM raw_patients WHERE record_id % 1013 = 5
+        UNION ALL SELECT record_id, 'moved', 'two', CASE WHEN record_id % 1019 = 7 THEN 2 ELSE 1 END FROM raw_patients
+                  WHERE record_id % 1009 = 3 AND record_id % 1013 <> 5
+        UNION ALL SELECT record_id, ward, 'two', 1 FROM raw_patients WHERE record_id % 1019 = 7 AND record_id % 1013 <> 5 AND record_id % 1009 <> 3""",
+    "copy_mismatch_levels": "SELECT level, 1 AS nodes, TRUE AS as_many, 64 - 4 * level AS bits FROM range(5) t(level)",
+    "vitals_compacted_windows": _by_hour(_windows("5 minutes", "patient_id, device_id, ward_id")),
     "layered_jobs_dashboard": "SELECT * FROM dashboard",
     "vitals_tumbling": _windows("5 minutes", "patient_id, device_id, ward_id"),
     "vitals_hourly_by_ward": _windows("1 hour", "ward_id"),

@@ -20,9 +20,9 @@ from lakecare.operators.quality import EmptySourceError, date_format_flags, drop
 from lakecare.plans import gold, incremental, ingest, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD_PARTITIONS, VITALS_EVENT
 from lakecare.session import scratch_path, stage, streaming_session
-from lakecare.sinks import tables
+from lakecare.sinks import checksums, clustering, tables
 from lakecare.sources import batch, bundles, control, rescue, retail
-from lakecare.streaming import fanout, landing, vitals as streams
+from lakecare.streaming import compaction, fanout, landing, vitals as streams
 
 AS_OF, RUN_DATE = "2001-08-01 00:00:00", "2001-08-01"
 EXTRACT_SINCE = "2001-06-01"
@@ -805,6 +805,60 @@ def clustered_file_ranges(lake: Lake) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query
+def interleaved_file_ranges(lake: Lake) -> DataFrame:
+    """Files that a search for one value opens, per clustered column: at most three times the square root of all."""
+    path, files = scratch_path(lake.spark, "interleaved"), 64
+    claims = lake.claims.select("claim_id", "patient_id", "total_amount")
+    tables.publish_version(claims, path)
+    clustering.cluster_interleaved(lake.spark, path, ["claim_id", "patient_id"], files)
+    parts = []
+    for column in ("claim_id", "patient_id"):
+        values = tables.read_table(lake.spark, path).select(F.col(column).alias("value")).distinct()
+        opened = clustering.files_opened(lake.spark, path, column, values)
+        parts.append(opened.select("column_name", (F.col("opened") <= 3 * F.sqrt("files")).alias("narrow"), (F.col("files") > 1).alias("cut")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def copy_mismatches(lake: Lake) -> DataFrame:
+    """Two copies of the raw patients, one with a changed, a missing and a repeated row: what the checksum tree names."""
+    one = stage(lake.raw_patients.drop("total_amount"), "copy-one")
+    key = F.col("record_id")
+    changed = one.withColumn("ward", F.when(key % 1009 == 3, "moved").otherwise(F.col("ward"))).where(key % 1013 != 5)
+    two = stage(changed.unionByName(changed.where(key % 1019 == 7)), "copy-two")
+    rows = checksums.differing_rows(one, two, ["record_id"])
+    return rows.select("record_id", "ward", "side", "copies")
+
+
+@query
+def copy_mismatch_levels(lake: Lake) -> DataFrame:
+    """One changed row among all: one differing node on every level, each with a sixteenth of the range above."""
+    one = stage(lake.raw_patients, "copy-one")
+    changed = one.select(F.min("record_id").alias("changed"))
+    two = one.join(F.broadcast(changed)).withColumn("ward", F.when(F.col("record_id") == F.col("changed"), "moved").otherwise(F.col("ward")))
+    path = checksums.mismatch_path(one, two.drop("changed"), ["record_id"])
+    return path.groupBy("level").agg(
+        F.count(F.lit(1)).alias("nodes"), F.max(F.col("rows") == F.col("other_rows")).alias("as_many"),
+        F.round(F.log2(F.max(F.col("last_hash").cast("decimal(20,0)") - F.col("first_hash") + 1).cast("double"))).cast("int").alias("bits"),
+    )
+
+
+@query
+def vitals_compacted_windows(lake: Lake) -> DataFrame:
+    """The stream's window files, written small, packed per closed hour and read through the pointer."""
+    base = scratch_path(lake.spark, "compacted")
+    windows = streams.vitals_windows(lake.vitals)
+    placed = windows.withColumns({c: F.date_format("window_end_time", f) for c, f in (("date", "yyyy-MM-dd"), ("hour", "HH"))})
+    for part in (0, 1):  # two batches, so that every hour has small files of both
+        half = placed.where(F.pmod(F.xxhash64("patient_id", "window_end_time"), F.lit(2)) == part)
+        half.repartition(4).write.mode("append").partitionBy("date", "hour").parquet(base)
+        compaction.compact_hours(lake.spark, base, compaction.Hour("2024-01-03", "00"))
+    compaction.sweep(lake.spark, base)
+    rows = compaction.read_compacted(lake.spark, base)
+    return rows.withColumn("window_end_time", F.col("window_end_time").cast("timestamp_ntz"))
+
+
 @query
 def layered_jobs_dashboard(lake: Lake) -> DataFrame:
     """Landed raw Parquet, both jobs, and the dashboard over the written gold tables."""

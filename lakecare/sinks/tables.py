@@ -60,7 +60,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) or n.startswith(f"{BUCKET}=") for n in names if n != "versions")
 
 
-def _pointer(spark: SparkSession, path: str) -> str | None:
+def pointer_text(spark: SparkSession, path: str) -> str | None:
     pointer = f"{path}/{POINTER}"
     return spark.read.text(pointer, wholetext=True).first()[0] if path_exists(spark, pointer) else None
 
@@ -71,7 +71,7 @@ def _bucket_map(pointer: str | None) -> dict | None:
 
 
 def current_path(spark: SparkSession, path: str) -> str:
-    name = _pointer(spark, path)
+    name = pointer_text(spark, path)
     return path if name is None else f"{path}/versions/{name}"
 
 
@@ -93,13 +93,13 @@ def _read_buckets(spark: SparkSession, path: str, live: dict, buckets: Sequence[
 
 def table_columns(spark: SparkSession, path: str) -> list[dict]:
     """(name, type, since) of a bucketed table's columns; ``since`` counts its upserts from 1."""
-    live = _bucket_map(_pointer(spark, path))
+    live = _bucket_map(pointer_text(spark, path))
     return live.get("columns", []) if live else []
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The live version, the live folder of each bucket, or the folder itself for a plain table."""
-    pointer = _pointer(spark, path)
+    pointer = pointer_text(spark, path)
     live = _bucket_map(pointer)
     if live is not None:
         return _read_buckets(spark, path, live)
@@ -138,7 +138,7 @@ def overwrite_table(
     writer.save(path)
 
 
-def _switch(spark: SparkSession, path: str, name: str) -> None:
+def switch_pointer(spark: SparkSession, path: str, name: str) -> None:
     """Write the pointer beside the live one and rename it over: readers see the old or the new, never part of one."""
     fs, pointer = _fs(spark, f"{path}/{POINTER}")
     _, side = _fs(spark, f"{path}/_{POINTER}-{uuid.uuid4().hex}")
@@ -159,7 +159,7 @@ def publish_version(
     """Write a new version beside the live one, then switch the pointer to it."""
     name = uuid.uuid4().hex
     overwrite_table(df, f"{path}/versions/{name}", partition_by, gather=gather, sort_by=sort_by)
-    _switch(df.sparkSession, path, name)
+    switch_pointer(df.sparkSession, path, name)
     return name
 
 
@@ -180,7 +180,7 @@ def upsert_table(
     ``evolve`` the new version has the columns of both sides, each as wide as either needs it;
     what a row does not bring is null.
     """
-    if _bucket_map(_pointer(spark, path)) is not None:
+    if _bucket_map(pointer_text(spark, path)) is not None:
         raise TableLayoutError(f"{path} holds a bucketed table")
     if not unique:
         require_unique(source, keys)
@@ -217,7 +217,7 @@ def upsert_bucketed(
     in the table's present one. A row takes all columns of its source, so what that lacks is null.
     Key columns keep their type, which decides their bucket.
     """
-    pointer = _pointer(spark, path)
+    pointer = pointer_text(spark, path)
     live = _bucket_map(pointer)
     if pointer is not None and live is None:
         raise TableLayoutError(f"{path} holds a versioned table")
@@ -244,7 +244,7 @@ def upsert_bucketed(
     folders |= {str(b): name for b in touched}
     change = (live.get("change", 0) if live else 0) + 1
     written = declared(layout)
-    _switch(
+    switch_pointer(
         spark,
         path,
         json.dumps(
@@ -275,7 +275,7 @@ def _agreed_layout(path: str, present: StructType, brought: StructType, keys: Se
 
 def vacuum(spark: SparkSession, path: str) -> list[str]:
     """Delete the version folders that the pointer no longer names; run it when no reader holds an older one."""
-    pointer = _pointer(spark, path)
+    pointer = pointer_text(spark, path)
     if pointer is None:
         return []
     live = _bucket_map(pointer)
@@ -294,7 +294,7 @@ def cluster_table(spark: SparkSession, path: str, columns: Sequence[str], files:
     each the rows are cut into ranges of the other columns. Values too frequent for one file
     are cut on by the other columns and a hash of the row.
     """
-    pointer = _pointer(spark, path)
+    pointer = pointer_text(spark, path)
     if _bucket_map(pointer) is not None:
         raise TableLayoutError(f"{path} is bucketed; sort its buckets as they are written")
     live = read_table(spark, path)

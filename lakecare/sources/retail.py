@@ -30,12 +30,12 @@ def spread_table(
     """The columns of a large table, on all cores.
 
     A file of one row group is read by one task however many cores wait, and everything up
-    to the first shuffle stays there. Only a table with fewer splits than a quarter of the
-    cores is redistributed, by a hash of the columns that tell its rows apart.
+    to the first shuffle stays there. A table with fewer splits than cores, at most a few hundred
+    megabytes, is redistributed by a hash of the columns that tell its rows apart.
     """
     rows = table(spark, folder, name).select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() * 4 >= cores else rows.repartition(cores, *by)
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *by)
 
 
 def stream_path(folder: str, name: str) -> str:

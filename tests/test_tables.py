@@ -85,7 +85,7 @@ def test_bucketed_upsert_survives_a_stop_and_refuses_other_buckets(spark, folder
     tables.upsert_bucketed(spark, path, spark.range(100).withColumn("v", F.lit(0)), ["id"], buckets=8)
     batch_rows = spark.range(90, 120).withColumn("v", F.lit(1))
     with monkeypatch.context() as stopped:
-        stopped.setattr(tables, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        stopped.setattr(tables, "switch_pointer", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
         with pytest.raises(RuntimeError, match="stopped"):
             tables.upsert_bucketed(spark, path, batch_rows, ["id"], buckets=8)
     assert tables.read_table(spark, path).where("v = 0").count() == 100
