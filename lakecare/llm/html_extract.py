@@ -1,15 +1,21 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Every page gives tokens: its opening tags, told apart by the elements around them, and its text
-blocks outside the article. A token's occurrence vector is how often each page of the host has
-it. Tokens with equal vectors form an equivalence class; vectors are compared by a sum of
-hashes over (page, count), so a host's pages never come together in a task. Classes that cover
-at least half of a host's pages, and three, are its template. On a page the template's classes
-are nested: one that crosses the gaps of a class already placed is not valid there and is left
-out. What lies between the template's tokens are the slots; slots of the article are its text.
-
-Menus, headers, footers, sidebars, notices, adverts, forms and comments differ from page to page
-too, so slots inside elements of such tags, roles or names are not the article's.
+blocks. A token's occurrence vector is how often each page of the host has it. Tokens with equal
+vectors form an equivalence class; vectors are compared by a sum of hashes over (page, count), so a
+host's pages never come together in a task. Classes that cover at least half of a host's pages, and
+three, are its template. What lies between the template's tokens are the slots.
+
+Which slot is the article's is decided for the whole host: of the template's elements, the innermost
+that holds more than half of the text that varies from page to page, links not counted. On a page,
+the template's classes are nested: one that crosses the gaps of a class already placed is not valid
+there. The blocks inside the chosen element are the page's text, but for inner elements of fixed text
+alone, which nearly all pages of the host repeat.
+
+Words of tags, roles and names break ties: menus, headers, footers, sidebars, notices, adverts, forms
+and comments differ from page to page too, so text in elements so called neither counts for the choice
+nor is kept, and an article element is never cut into. A host of fewer than three pages has no template,
+and a page without the chosen element does not follow it: there, these words alone decide.
 """
 
 from __future__ import annotations
@@ -29,6 +35,9 @@ from lakecare.llm.urlfilter import host_of
 from lakecare.session import stage
 
 SUPPORT, LEAST_PAGES = 0.5, 3
+#: Share of the varying text that the article's slot must exceed; share of pages, and pages, that fixed text is on.
+MAJORITY = 0.5
+FIXED_SHARE, FIXED_PAGES = 0.9, 5
 
 #: Elements whose content is no article text.
 EXCLUDED_TAGS = frozenset(
@@ -73,16 +82,20 @@ class Element:
     excluded: bool
     article: bool
     header: bool
+    token: int = 0
+    chain: tuple[int, ...] = ()  # tokens of the elements around it and its own, down to the outermost article
+    unnamed: dict[str, int] = field(default_factory=dict)  # children without a name, by tag
 
 
 @dataclass
 class Block:
     text: str
-    path: str
+    size: int  # code points outside links
     excluded: bool
     article: bool
-    at: int  # place among the page's tokens
-    token: int = 0
+    token: int
+    chain: tuple[int, ...]
+    element: Element  # the innermost one
 
 
 @dataclass
@@ -98,24 +111,29 @@ def _token(text: str) -> int:
 
 def read_page(html: str) -> Page:
     """Tokens and text blocks of a page; broken markup closes with what surrounds it."""
-    page, stack, parts = Page(), [Element("", "", False, False, False)], []
-    heading = False
+    page, stack, parts, linked = Page(), [Element("", "", False, False, False)], [], []
+    heading = link = False
+
+    def add(text: str) -> None:
+        parts.append(text)
+        if link:
+            linked.append(text)
 
     def close_block() -> None:
         text = " ".join("".join(parts).split())
+        links = " ".join("".join(linked).split())
         parts.clear()
+        linked.clear()
         if text:
             top = stack[-1]
             excluded = top.excluded or (top.header and not (top.article and heading))
-            block = Block(text, top.path, excluded, top.article, len(page.tokens))
-            if not top.article:
-                block.token = _token(f"{top.path}|{text}")
-                page.tokens.append(block.token)
-            page.blocks.append(block)
+            token = _token(f"{top.path}|{text}")
+            page.tokens.append(token)
+            page.blocks.append(Block(text, max(len(text) - len(links), 0), excluded, top.article, token, top.chain, top))
 
     last = 0
     for found in MARKUP.finditer(html):
-        parts.append(markup.unescape(html[last : found.start()]))
+        add(markup.unescape(html[last : found.start()]))
         last = found.end()
         tag = (found["tag"] or found["looser"] or "").lower()
         if not tag:
@@ -128,6 +146,8 @@ def read_page(html: str) -> Page:
             close_block()
         if tag in HEADINGS:
             heading = not ending
+        if tag == "a":
+            link = not ending
         if tag not in CONTAINERS and tag not in EXCLUDED_TAGS or tag == "input":
             if not ending:
                 page.tokens.append(_token(f"{stack[-1].path}>{tag}"))
@@ -140,7 +160,7 @@ def read_page(html: str) -> Page:
         if tag in ("li", "tr", "td", "th") and stack[-1].tag == tag:
             stack.pop()
         _open(page, stack, tag, found["rest"] or found["loosest"] or "")
-    parts.append(markup.unescape(html[last:]))
+    add(markup.unescape(html[last:]))
     close_block()
     return page
 
@@ -156,47 +176,80 @@ def _open(page: Page, stack: list[Element], tag: str, rest: str) -> None:
     )
     header = above.header or tag == "header" or not body and "header" in names
     shown = tag + "".join(f".{n}" for n in sorted(names))
-    stack.append(Element(tag, f"{above.path}/{shown}", excluded, article, header))
-    page.tokens.append(_token(f"{above.path}>{shown}"))
+    if tag in ("div", "section") and not names:  # told apart by their order
+        above.unnamed[tag] = above.unnamed.get(tag, 0) + 1
+        shown += f"[{above.unnamed[tag]}]"
+    token = _token(f"{above.path}>{shown}")
+    chain = above.chain if above.article else (*above.chain, token)
+    stack.append(Element(tag, f"{above.path}/{shown}", excluded, article, header, token, chain))
+    page.tokens.append(token)
 
 
 # Template deduction ---------------------------------------------------------------------
 
 
+SEEN = "host string, page long, token long, times int, size int, chain array<long>"
+
+
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the token classes of each host's template as a list of (class, token).
+    """(host, template, main): each host's template as a list of (class, token, fixed), and the article's element.
 
-    A template has fewer tokens than twice the mean of the host's pages, so the list is bounded
-    by page length, not by the number of pages.
+    A template has fewer tokens than twice the mean of the host's pages, so the list is bounded by page
+    length, not by the number of pages. ``main`` is null if no element holds most of the varying text.
     """
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+        names = [part.split()[0] for part in SEEN.split(", ")]
         for batch in batches:
-            host, key, token, times = [], [], [], []
+            rows: list[tuple] = []
             for h, k, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                page = read_page(text)
                 counts: dict[int, int] = {0: 1}
-                for t in read_page(text).tokens:
+                for t in page.tokens:
                     counts[t] = counts.get(t, 0) + 1
-                host += [h] * len(counts)
-                key += [k] * len(counts)
-                token += counts.keys()
-                times += counts.values()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(token, pa.int64()), pa.array(times, pa.int32())],
-                ["host", "page", "token", "times"],
-            )
+                blocks = {b.token: b for b in page.blocks}
+                for t, times in counts.items():
+                    block = blocks.get(t)
+                    counted = block is not None and not block.excluded
+                    rows.append((h, k, t, times, block.size if counted else None, block.chain if counted else None))
+            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     keyed = pages.select("host", F.xxhash64("url", "html").alias("page"), F.coalesce("html", F.lit("")).alias("html"))
-    seen = keyed.mapInArrow(tokens, "host string, page long, token long, times int")
+    seen = keyed.mapInArrow(tokens, SEEN)
     vectors = seen.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum(F.xxhash64("page", "times").cast("decimal(38,0)")).alias("vector"),
+        F.sum(F.col("times") * F.col("size")).alias("chars"),
+        F.max("chain").alias("chain"),
     )
-    vectors = stage(vectors.where(F.col("pages") >= LEAST_PAGES), "html-vectors")
+    vectors = stage(vectors, "html-vectors")
     total = vectors.where("token = 0").select("host", F.col("pages").alias("total"))
-    frequent = vectors.where("token <> 0").join(total, "host").where(F.col("pages") >= F.col("total") * SUPPORT)
-    named = F.xxhash64("pages", "vector").alias("class")
-    return frequent.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(named, "token"))).alias("template"))
+    known = vectors.where("token <> 0").join(total, "host")
+    covers = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= F.col("total") * SUPPORT)
+    frequent = stage(
+        known.where(covers).select(
+            "host",
+            "token",
+            F.xxhash64("pages", "vector").alias("class"),
+            ((F.col("pages") >= FIXED_PAGES) & (F.col("pages") >= F.col("total") * FIXED_SHARE)).alias("fixed"),
+        ),
+        "html-frequent",
+    )
+    varying = known.where(~covers & (F.col("chars") > 0))
+    inside = varying.select("host", "chars", F.posexplode("chain").alias("depth", "token"))
+    held = inside.groupBy("host", "token").agg(F.sum("chars").alias("chars"), F.max("depth").alias("depth"))
+    whole = varying.groupBy("host").agg(F.sum("chars").alias("all_chars"))
+    main = (
+        held.join(frequent.select("host", "token"), ["host", "token"])
+        .join(whole, "host")
+        .where(F.col("chars") > F.col("all_chars") * MAJORITY)
+        .groupBy("host")
+        .agg(F.max_by("token", "depth").alias("main"))
+    )
+    template = frequent.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("class", "token", "fixed"))).alias("template"))
+    return template.join(main, "host", "left")
 
 
 def valid_classes(page: Page, template: dict[int, int]) -> set[int]:
@@ -225,14 +278,26 @@ def _repeats(spots: list[int], gap_of: list[int]) -> bool:
     return len(runs) == len(set(runs))
 
 
-def article_text(page: Page, template: dict[int, int]) -> str:
-    """The slots of the article: all of an article element's, or else those that no template holds."""
-    fixed = valid_classes(page, template) if template else set()
-    inside = any(b.article and not b.excluded for b in page.blocks)
-    kept = [
-        b.text for b in page.blocks if not b.excluded and (b.article if inside else b.token not in fixed)
-    ]
-    return "\n\n".join(kept)
+@dataclass(frozen=True)
+class Template:
+    """Class of each token, the tokens that nearly all pages have, and the article's element."""
+
+    classes: dict[int, int] = field(default_factory=dict)
+    fixed: frozenset[int] = frozenset()
+    main: int | None = None
+
+
+def article_text(page: Page, template: Template) -> str:
+    """The blocks of the article's slot; by the names of elements alone where the page does not follow the template."""
+    kept = [b for b in page.blocks if not b.excluded]
+    inside = [b for b in kept if template.main in b.chain]
+    if template.main is not None and inside:
+        valid = valid_classes(page, template.classes) & template.fixed
+        varying = {id(b.element) for b in page.blocks if b.token not in valid}
+        kept = [b for b in inside if id(b.element) in varying or b.element.token == template.main]
+    elif any(b.article for b in kept):
+        kept = [b for b in kept if b.article]
+    return "\n\n".join(b.text for b in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -240,21 +305,24 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A null or empty page has an empty text. White space of any kind inside a block becomes one
     space. Pages whose URL has no host form one group. Equal pages get equal texts and count as
-    often as they come. Other columns are not read.
+    often as they come. Of two classes of equal size the one that begins first on the page is placed
+    first. Pages of any length are read whole, one at a time; an empty table gives no rows. Other
+    columns are not read.
     """
     ship(pages.sparkSession)
     hosted = pages.select("page_id", "url", "html", host_of(F.coalesce("url", F.lit(""))).alias("host"))
     templates = stage(host_templates(hosted), "html-templates")
-    joined = hosted.join(templates, "host", "left").select("page_id", "url", "html", "template")
+    joined = hosted.join(templates, "host", "left").select("page_id", "url", "html", "template", "main")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, known = [], {}
-            for html, template in zip(batch.column(2), batch.column(3), strict=True):
-                rows = template.as_py() or []
-                name = hash(tuple((r["class"], r["token"]) for r in rows))
+            for html, listed, main in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
+                rows = listed.as_py() or []
+                name = hash((main, tuple((r["class"], r["token"]) for r in rows)))
                 if name not in known:
-                    known[name] = {r["token"]: r["class"] for r in rows}
+                    fixed = frozenset(r["token"] for r in rows if r["fixed"])
+                    known[name] = Template({r["token"]: r["class"] for r in rows}, fixed, main)
                 source = html.as_py()
                 texts.append(article_text(read_page(source), known[name]) if source else "")
             found = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
