@@ -146,9 +146,9 @@ def test_article_element_wins():
         "<!-- x --><div class='ad'>Buy</div><article><h1>A &amp; B</h1><p><b>one\n two<br><p>three&nbsp;four"
         "<div class='comments'><p>me first</div></article><footer>&copy; x</footer>"
     )
-    text = html_extract.article_text(html_extract.read_page(page), {})
+    text = html_extract.article_text(html_extract.read_page(page), html_extract.Template())
     assert text == "A & B\n\none two\n\nthree four"
-    assert html_extract.article_text(html_extract.read_page(page[:-40]), {}) == text
+    assert html_extract.article_text(html_extract.read_page(page[:-40]), html_extract.Template()) == text
 
 
 def test_template_blocks_of_a_host_go(spark):
