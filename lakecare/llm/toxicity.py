@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakecare.llm.common import ship, whole_text
 
@@ -34,6 +35,8 @@ LANDMARKS = 256
 #: Labelled rows of each class that the fit looks at.
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
 EDGE = 1
+#: Log odds beyond which a unit that many toxic texts hold counts as a witness in all of them.
+TELLING = 3.0
 
 
 def _windows(word: str) -> list[str]:
@@ -222,6 +225,9 @@ def fit_units(words: list[str], bags: list[Bag], rounds: int, seed: int) -> tupl
     odds = np.log((seen[1] + 0.5) / (count[1] + 1)) - np.log((seen[0] + 0.5) / (count[0] + 1))
     odds[seen.sum(0) < min(3, 1 + count[1] // 8)] = 0
     scores = ToxicityModel(odds, 0.0, np.zeros(0)).raw(words)
+    # a text may hold several insults, of which its worst three would always be the same few words
+    unit_odds = np.log((held[1] + 0.5) / (count[1] + 1)) - np.log((held[0] + 0.5) / (count[0] + 1))
+    telling = (held[1] >= max(3, count[1] // 50)) & (unit_odds > TELLING)
     clean_words = np.flatnonzero(held[0])
     table, bias = np.zeros(1 << TABLE_BITS, np.float32), 0.0
     for step in range(rounds):
@@ -229,7 +235,8 @@ def fit_units(words: list[str], bags: list[Bag], rounds: int, seed: int) -> tupl
         for bag in bags:
             if bag.toxic:
                 best = bag.units[np.argsort(-scores[bag.units], kind="stable")[:WORST]]
-                witnesses += [w for k, w in enumerate(best.tolist()) if k == 0 or (step and scores[w] > 0)]
+                own = [w for k, w in enumerate(best.tolist()) if k == 0 or (step and scores[w] > 0)]
+                witnesses += np.union1d(own, bag.units[telling[bag.units]]).astype(int).tolist()
         positive, times = np.unique(witnesses, return_counts=True)
         hard = clean_words[np.argsort(-scores[clean_words], kind="stable")[:3000]]
         others = np.setdiff1d(clean_words, hard)
@@ -338,13 +345,13 @@ def score(documents: DataFrame, model: ToxicityModel | None, chunk: int = 4000)
     """All columns but ``text`` of every row, with score in [0, 1] and predicted (1 from 0.5 on).
 
     Null and empty texts, and all texts without a model, score as texts without any unit do.
-    Repeated rows score alike.
+    Repeated rows score alike, ties of units do not matter; texts of any length are read whole; an
+    empty table gives no rows. Columns named like the results give way to them.
     """
     spark = documents.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in documents.columns if c != "text"]
-    types = dict(documents.dtypes)
+    kept = [c for c in documents.columns if c not in ("text", "score", "predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
@@ -361,5 +368,6 @@ def score(documents: DataFrame, model: ToxicityModel | None, chunk: int = 4000)
                     [*part.columns[: len(kept)], pa.array(chances), predicted], [*kept, "score", "predicted"]
                 )
 
-    schema = ", ".join([f"{c} {types[c]}" for c in kept] + ["score double, predicted int"])
-    return documents.select(*kept, whole_text().alias("text")).mapInArrow(run, schema)
+    carried = documents.select(*[F.col(f"`{c}`") for c in kept], whole_text().alias("text"))
+    schema = StructType([*carried.schema.fields[:-1], *StructType.fromDDL("score double, predicted int").fields])
+    return carried.mapInArrow(run, schema)
