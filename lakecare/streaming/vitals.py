@@ -193,8 +193,9 @@ def start_alert_files(alerts: DataFrame, path: str, checkpoint: str, once: bool
 
 
 def as_messages(alerts: DataFrame) -> DataFrame:
-    """Key and JSON value for a message topic; one patient's alerts keep their order."""
-    return alerts.select(F.col("patient_id").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    """Key and JSON value for a message topic; one patient's alerts keep their order, times their microseconds."""
+    value = F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return alerts.select(F.col("patient_id").alias("key"), value.alias("value"))
 
 
 def start_alert_topic(alerts: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
