@@ -1,9 +1,11 @@
 """The pipeline's stages and the registered corpus queries on small tables."""
 
+import os
 from collections import Counter
 
 import corpus_pipeline
 from lakecare.llm import langid, mixing, packing, queries, secret_scan, simhash
+from lakecare.session import shared_folder, stage
 from tests.compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -14,7 +16,7 @@ def test_stages_follow_each_other(spark):
     columns = docs.columns
     kept = {}
     for name, step in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.stage(step(spark, docs, SMALL), f"test-{name}")
+        docs = stage(step(spark, docs, SMALL), f"test-{name}")
         kept[name] = docs
         assert name == "packing" or docs.columns == columns
     all_docs = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -37,7 +39,7 @@ def test_stages_follow_each_other(spark):
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, step in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.stage(step(spark, docs, SMALL), f"test-{name}")
+        docs = stage(step(spark, docs, SMALL), f"test-{name}")
     assert docs.count() == 0
 
 
@@ -58,3 +60,11 @@ def test_languages_on_held_out_rows(spark):
     held = [r for r in queries.op2_language_id(spark, SMALL).collect() if r["held_out"]]
     assert sum(truth[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.98 * len(held)
     assert langid.UNKNOWN not in {r["lang_pred"] for r in held}
+
+
+def test_a_run_leaves_its_result_alone(spark):
+    scratch = f"{shared_folder(spark).removeprefix('file:').replace('//', '/', 1)}/lakecare-scratch"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    out = corpus_pipeline.run(spark, SMALL)
+    left = set(os.listdir(scratch)) - before
+    assert len(left) == 1 and out.count() > 0 and out.columns[0] == "doc_id"
