@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakecare.llm import langid, mixing, packing, secret_scan, simhash
 from lakecare.llm.common import remainder, table
 from lakecare.llm.queries import LANGUAGE_FOLDS, LANGUAGE_HELD
-from lakecare.session import scratch_path, stage
+from lakecare.session import delete_path, owned_scratch, scratch_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage has staged, and its input, are deleted once its result is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with owned_scratch(spark):
+            out = step(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if last is not None:
+            delete_path(spark, last)
+        last = path
     return docs
