@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakecare.llm import ann, fingerprints, langid, mixing, secret_scan, simhash
+from lakecare.llm import ann, fingerprints, langid, mixing, secret_scan, simhash, urlfilter
 from lakecare.session import scratch_path
 from tests.llm.test_corpus import documents
 
@@ -160,3 +160,26 @@ def test_first_of_a_group_keeps_the_rows_columns(spark):
     docs = clashing(spark)
     out = simhash.keep_first(docs)
     assert out.columns == docs.columns and rows(out).keys() <= rows(docs).keys()
+
+
+def test_listed_urls_fit_every_spelling(spark):
+    spellings = [
+        ("u:p@Bad.Example.:80", "/a/./b/../c%7ex"), ("bad.example", "/a/c~x"), ("bad.example:443", "/a/c%7Ex"), ("bad.example", "/%61/c%7ex"),
+        ("bad.example", "/x/../../a/c~x"), ("bad.example", "/a/%2e/c~x"),
+    ]
+    others = [("bad.example:8080", "/a/c~x"), ("bad.example", "/a/c~X"), ("sub.bad.example", "/a/c~x"), ("bad.example", "/a%2fc~x"), ("bad.example", "/a/c~x/")]
+    pages = spark.createDataFrame([(i, f"http://{h}{p}?q#f", "x") for i, (h, p) in enumerate(spellings + others)], "page_id int, url string, _host string")
+    rules = spark.createDataFrame([("other.example", "/", "allow")], "host string, path string, action string")
+    for host, path in (spellings[0][0].lower(), spellings[0][1]), spellings[1]:
+        listed = spark.createDataFrame([(host, path)], "host string, path string")
+        found = {r["page_id"]: r for r in urlfilter.url_filter(pages, rules, listed).collect()}
+        assert [found[i]["verdict"] for i in range(11)] == ["block"] * 6 + ["allow"] * 5
+        assert found[0]["host"] == "u:p@bad.example.:80" and found[0]["path"] == "/a/./b/../c%7ex" and found[0]["_host"] == "x"
+
+
+def test_canonical_paths(spark):
+    cases = {"": "/", "/": "/", "/a": "/a", "/a/": "/a/", "/.": "/", "/..": "/", "/a/..": "/", "/a/b/..": "/a/", "/a/.": "/a/", "/..a/b.": "/..a/b.",
+             "/%41%2F%zz%": "/A%2F%ZZ%", "/a//b": "/a//b", "/%e9": "/%E9", "/a/%2E%2e/b": "/b"}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "path string, wanted string")
+    for r in df.withColumn("got", urlfilter.canonical_path(F.col("path"))).collect():
+        assert r["got"] == r["wanted"], r["path"]
