@@ -38,6 +38,8 @@ SUPPORT, LEAST_PAGES = 0.5, 3
 #: Share of the varying text that the article's slot must exceed; share of pages, and pages, that fixed text is on.
 MAJORITY = 0.5
 FIXED_SHARE, FIXED_PAGES = 0.9, 5
+#: Parts that a host's tokens are dealt to.
+HOST_PARTS = 64
 
 #: Elements whose content is no article text.
 EXCLUDED_TAGS = frozenset(
@@ -225,8 +227,11 @@ def host_templates(pages: DataFrame) -> DataFrame:
         F.max("chain").alias("chain"),
     )
     vectors = stage(vectors, "html-vectors")
-    total = vectors.where("token = 0").select("host", F.col("pages").alias("total"))
-    known = vectors.where("token <> 0").join(total, "host")
+    # each host's number of pages meets its tokens in several parts, as one host may hold a third of them
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOST_PARTS - 1).cast("long")))
+    total = vectors.where("token = 0").select("host", F.col("pages").alias("total"), parts.alias("part"))
+    part = F.pmod("token", F.lit(HOST_PARTS).cast("long"))
+    known = vectors.where("token <> 0").withColumn("part", part).join(total, ["host", "part"]).drop("part")
     covers = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= F.col("total") * SUPPORT)
     frequent = stage(
         known.where(covers).select(
