@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecare.operators.joins import hot_keys, hot_threshold, small
-from lakecare.session import pin, stage
+from lakecare.session import stage
+
+#: Rows of a range slice, unless a key may hold more.
+SLICE_ROWS = 500_000
 
 
 def _plain(df: DataFrame, keys: list[str], order: list[str], ordinal: str, successors: dict[str, str]) -> DataFrame:
@@ -23,12 +26,11 @@ def _sliced(
 ) -> DataFrame:
     """Range-partition by (key, order), number inside each slice, then shift by what came before.
 
-    The slice number comes from range bounds, so the placement is pinned before it is
-    used twice. The edge table has one row per key and slice.
+    Slices are cut without regard to keys: one holds many small keys or a part of a large one.
+    The slice number comes from range bounds, so the placement is written before it is used twice. The edge table has one row per key and slice.
     """
-    placed = pin(
-        df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
-    )
+    dealt = df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
+    placed = stage(dealt, "slices")
     head = F.min(F.struct(*order, *[F.col(c).alias(f"_s_{c}") for c in successors]))
     edges = placed.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"), head.alias("_head"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
@@ -62,7 +64,8 @@ def number_in_order(
 
     ``order`` must be a total order of non-null columns within a key. Keys of at most
     ``threshold`` rows use one window; larger keys are cut into range slices, so no task
-    ever holds a whole hot key.
+    ever holds a whole hot key. The slices follow the rows to be cut, not the number of hot
+    keys: a low threshold makes many keys hot, and a task for every few rows would be all overhead.
     """
     keys, order, successors = list(keys), list(order), dict(successors or {})
     threshold = hot_threshold(df, threshold)
@@ -70,7 +73,8 @@ def number_in_order(
     if n_hot == 0:
         return _plain(df, keys, order, ordinal, successors)
     hot_rows = hot.agg(F.sum("_rows")).first()[0]
-    slices = max(2, -(-hot_rows // threshold) * 2)
+    enough = max(df.sparkSession.sparkContext.defaultParallelism, -(-hot_rows // SLICE_ROWS))
+    slices = max(2, min(-(-hot_rows // threshold) * 2, enough))
     wanted = small(hot.select(*keys), n_hot)
     cold = _plain(df.join(wanted, keys, "left_anti"), keys, order, ordinal, successors)
     split = _sliced(df.join(wanted, keys, "left_semi"), keys, order, ordinal, successors, slices)

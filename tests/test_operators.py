@@ -11,6 +11,7 @@ from lakecare.operators.merge import DuplicateKeyError, merge_upsert, require_un
 from lakecare.operators.quality import (
     EmptySourceError, date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts, require_non_empty,
 )
+from lakecare.operators import sequence
 from lakecare.operators.sequence import number_in_order
 from lakecare.plans.serving import readmission_root_cause
 
@@ -85,6 +86,18 @@ def test_numbering_of_hot_keys_equals_window(spark, threshold):
     assert rows(ours) == sorted(expected, key=repr)
 
 
+def test_slices_follow_rows_not_hot_keys(spark, monkeypatch):
+    """With a threshold of three nearly every key is hot, which must not make a task for every few rows."""
+    df = spark.range(6000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("at"))
+    slices, sliced = [], sequence._sliced
+    monkeypatch.setattr(sequence, "_sliced", lambda *given: slices.append(given[-1]) or sliced(*given))
+    got = number_in_order(df, ["k"], ["at"], "n", {"at": "after"}, 3)
+    assert 2 <= slices[0] <= spark.sparkContext.defaultParallelism
+    later = F.when(F.col("at") < 5000, F.col("at") + 1000)
+    wrong = got.where((F.col("n") != F.floor(F.col("at") / 1000) + 1) | ~F.col("after").eqNullSafe(later))
+    assert got.count() == 6000 and wrong.count() == 0
+
+
 @pytest.mark.parametrize("threshold", [30, 10_000])
 def test_root_cause_equals_self_join(spark, threshold):
     draw = random.Random(3)
