@@ -36,40 +36,51 @@ def _top(path: str) -> str:
     return path.removeprefix("$.").split(".")[0].split("[")[0]
 
 
-def typed_fields(entry: Column, fields: Fields) -> list[Column]:
-    """The declared columns of an entry, its rescued cells and its undeclared fields as JSON text."""
-    typed, lost = [], []
-    for name, (path, kind) in fields.items():
-        value = F.try_variant_get(entry, path, kind)
-        raw = F.try_variant_get(entry, path, "variant")
-        missing = value.isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
-        typed.append(value.alias(name))
-        lost.append(F.struct(F.lit(name).alias("key"), F.when(missing, F.to_json(raw)).alias("value")))
-    rescued = F.map_from_entries(F.filter(F.array(*lost), lambda e: e["value"].isNotNull()))
-    known = F.array(*map(F.lit, sorted({_top(path) for path, _ in fields.values()})))
-    rest = F.map_filter(F.from_json(F.to_json(entry), "map<string,string>"), lambda k, v: ~F.array_contains(known, k))
-    return [
-        *typed,
-        F.when(F.size(rescued) > 0, rescued).alias(RESCUED),
-        F.when(F.size(rest) > 0, rest).alias(UNKNOWN),
+def _or_null(found: Column) -> Column:
+    """A map, or null for an empty one; the map is built once for the test and the result."""
+    return F.get(F.filter(F.array(found), lambda m: F.size(m) > 0), F.lit(0))
+
+
+def typed_fields(rows: DataFrame, entry: str, fields: Fields) -> DataFrame:
+    """``rows`` with the declared columns of the column ``entry``, its rescued cells and its undeclared fields as
+    JSON text in its place.
+
+    Values are taken in a step of their own, so that each path is followed once and the generated code stays
+    small enough to be compiled. Only undeclared fields become text and are read again.
+    """
+    kept = [c for c in rows.columns if c != entry]
+    taken = [F.try_variant_get(entry, path, kind).alias(f"_field_{i}") for i, (path, kind) in enumerate(fields.values())]
+    raw = [
+        F.struct(F.lit(name).alias("key"), F.when(F.col(f"_field_{i}").isNull(), F.try_variant_get(entry, path, "variant")).alias("value"))
+        for i, (name, (path, _)) in enumerate(fields.items())
     ]
+    lost = F.filter(F.array(*raw), lambda e: e["value"].isNotNull() & ~F.is_variant_null(e["value"]))
+    rescued = F.map_from_entries(F.transform(lost, lambda e: F.struct(e["key"], F.to_json(e["value"]))))
+    known = F.array(*map(F.lit, sorted({_top(path) for path, _ in fields.values()})))
+    rest = F.map_filter(F.try_variant_get(entry, "$", "map<string,variant>"), lambda k, v: ~F.array_contains(known, k))
+    return rows.select(*kept, entry, *taken).select(
+        *kept,
+        *[F.col(f"_field_{i}").alias(name) for i, name in enumerate(fields)],
+        _or_null(rescued).alias(RESCUED),
+        F.from_json(F.to_json(_or_null(rest)), "map<string,string>").alias(UNKNOWN),
+    )
 
 
 def bundle_entries(bundles: DataFrame, entries: str, fields: Fields, header: Fields | None = None) -> DataFrame:
     """One row per entry of the list at the path ``entries``: header columns of its bundle, its place, its own columns.
 
     A bundle without the list, or with an empty one, gives no row; so does a corrupt document, which
-    ``corrupt_bundles`` has.
+    ``corrupt_bundles`` has. Its bundle is null, so it needs no filter, which would parse each document again.
     """
     spark = bundles.sparkSession
-    listed = bundles.where(F.col(CORRUPT).isNull()).select(
+    listed = bundles.select(
         *[F.try_variant_get("bundle", path, kind).alias(name) for name, (path, kind) in (header or {}).items()],
         "_source_file",
         F.try_variant_get("bundle", entries, "variant").alias("_entries"),
     )
     each = listed.lateralJoin(spark.tvf.variant_explode(F.col("_entries").outer()))
     kept = [*(header or {}), "_source_file"]
-    return each.select(*kept, F.col("pos").alias(POSITION), *typed_fields(F.col("value"), fields))
+    return typed_fields(each.select(*kept, F.col("pos").alias(POSITION), F.col("value").alias("_entry")), "_entry", fields)
 
 
 def corrupt_bundles(bundles: DataFrame) -> DataFrame:

@@ -89,6 +89,17 @@ def test_bundles_become_typed_rows(spark, folder):
     assert [r[0] for r in bundles.corrupt_bundles(got).collect()] == ["broken {"]
 
 
+def test_each_path_is_followed_once(spark, folder):
+    """Every more call made the generated code larger, at last too large to be compiled."""
+    got = landed(spark, folder, '{"data":[{"a":{"id":"1","n":"y"},"d":null,"x":null,"y":1.50,"z":"q"}, 5, null, [{"x":1}]]}')
+    out = bundles.bundle_entries(got, "$.data", FIELDS)
+    rows = out.orderBy("_position").collect()
+    assert rows[0][rescue.RESCUED] == {"n": '"y"'} and rows[0][bundles.UNKNOWN] == {"x": None, "y": "1.5", "z": "q"}
+    assert all(r[bundles.UNKNOWN] is None and r[rescue.RESCUED] is None for r in rows[1:])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("$.a.id, StringType") == 1 and plan.count("$.a.n, IntegerType") == 1
+
+
 def scored(spark, pairs):
     return spark.createDataFrame(pairs, "label int, score double")
 
