@@ -21,7 +21,7 @@ from pyspark.sql.types import StructField, StructType
 
 from lakecare.operators.merge import merge_upsert, require_unique
 from lakecare.operators.quality import content_measures
-from lakecare.session import stage
+from lakecare.session import owned_scratch, stage
 from lakecare.sinks.evolution import column_history, conform, declared, merged_layout
 from lakecare.sources.rescue import Split, convert, write_split
 
@@ -178,19 +178,24 @@ def upsert_table(
 
     A repeated source key raises; ``unique`` skips that check for a deduplicated source. With
     ``evolve`` the new version has the columns of both sides, each as wide as either needs it;
-    what a row does not bring is null.
+    what a row does not bring is null. A source that is used more than once, by the check or by both
+    sides of a merge, is written once first instead of being computed each time.
     """
     if _bucket_map(pointer_text(spark, path)) is not None:
         raise TableLayoutError(f"{path} holds a bucketed table")
-    if not unique:
-        require_unique(source, keys)
-    if table_exists(spark, path):
-        live = read_table(spark, path)
-        if evolve:
-            layout = merged_layout(live.schema, source.schema)
-            live, source = conform(live, layout), conform(source, layout)
-        source = merge_upsert(live, source, keys, newer_by)
-    publish_version(source, path, partition_by, sort_by=sort_by)
+    exists = table_exists(spark, path)
+    with owned_scratch(spark):
+        if not unique or (exists and newer_by is None):
+            source = stage(source, "upsert")
+        if not unique:
+            require_unique(source, keys)
+        if exists:
+            live = read_table(spark, path)
+            if evolve:
+                layout = merged_layout(live.schema, source.schema)
+                live, source = conform(live, layout), conform(source, layout)
+            source = merge_upsert(live, source, keys, newer_by)
+        publish_version(source, path, partition_by, sort_by=sort_by)
 
 
 def upsert_bucketed(

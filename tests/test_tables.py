@@ -343,3 +343,18 @@ def test_wider_types(old, new, both):
     for a, b in (kinds, kinds[::-1]):
         got = evolution.wider(a, b)
         assert (got and got.simpleString()) == both
+
+
+def test_versioned_upsert_computes_its_source_once(spark, folder):
+    path, seen = f"{folder}/t", spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for first in (0, 50):
+        source = spark.range(first, first + 100).select(F.col("id").alias("k"), F.lit(first).alias("v"))
+        tables.upsert_table(spark, path, source.mapInArrow(counted, source.schema), ["k"])
+    assert seen.value == 200
+    assert rows(tables.read_table(spark, path)) == sorted([(k, 0 if k < 50 else 50) for k in range(150)], key=repr)
