@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecare.session import pin
+from lakecare.session import stage
 
 HOT_ROWS = 2_000_000
 HOT_ROWS_SETTING = "lakecare.hotRows"
@@ -22,12 +22,12 @@ def hot_threshold(df: DataFrame, given: int | None) -> int:
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> tuple[DataFrame, int]:
     """Keys with more than ``threshold`` rows, with their row counts.
 
-    Counts combine on the map side, and at most rows/threshold keys can qualify. Without
-    hot keys, the usual case, this is one counting pass over the key columns.
+    Counts combine on the map side, and at most rows/threshold keys can qualify. This is one
+    counting pass over the key columns, whether or not there are hot keys; they are written by it.
     """
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > threshold)
-    n_hot = found.count()
-    return (pin(found) if n_hot else found), n_hot
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > threshold)
+    found = stage(counted, "hot-keys")
+    return found, found.count()
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
