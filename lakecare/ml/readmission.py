@@ -112,15 +112,18 @@ def scaler_summary(features: DataFrame) -> DataFrame:
 def vector_slots(features: DataFrame) -> DataFrame:
     """(slot, rows_set, total) of the assembled vectors: one-hot slots by category, numbers by name.
 
-    A vector has one slot per known category and number; sums combine before the shuffle.
+    A vector has one slot per known category and number; sums combine before the shuffle. Most slots
+    of a row are zero, and adding those as decimals would be most of the work, so they are only counted.
     """
     prepared = Pipeline(stages=feature_stages()[:3]).fit(features).transform(features)
     attributes = prepared.schema["features_raw"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
     each = prepared.select(F.posexplode(vector_to_array("features_raw")).alias("at", "value"))
+    known = ~F.isnan("value")
+    there = (F.col("value") != 0) & known
+    total = F.coalesce(F.sum(F.when(there, F.col("value").cast("decimal(28,8)"))).cast("double"), F.lit(0.0))
     summed = each.groupBy("at").agg(
-        F.count_if((F.col("value") != 0) & ~F.isnan("value")).alias("rows_set"),
-        F.round(F.sum(F.when(~F.isnan("value"), F.col("value").cast("decimal(28,8)"))).cast("double"), 2).alias("total"),
+        F.count_if(there).alias("rows_set"), F.when(F.count_if(known) > 0, F.round(total, 2)).alias("total")
     )
     slots = F.create_map(*[x for i, n in sorted(names.items()) for x in (F.lit(i), F.lit(n))])
     return summed.select(slots[F.col("at")].alias("slot"), "rows_set", "total")
