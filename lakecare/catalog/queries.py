@@ -67,9 +67,13 @@ class Lake:
         return gold.dim_patient(self.patients, unique=True)
 
     @cached_property
-    def fact(self) -> DataFrame:
+    def fact_claims(self) -> DataFrame:
         """Claims are used twice (hot-key count, join), so they are written once first."""
-        return gold.fact_admissions(self.patients, stage(self.claims.select(*gold.CLAIM_SIDE), "claims"))
+        return stage(self.claims.select(*gold.CLAIM_SIDE), "claims")
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return gold.fact_admissions(self.patients, self.fact_claims)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -219,7 +223,7 @@ def _bundles(lake: Lake) -> DataFrame:
     grouped = lake.raw_claims.groupBy("patient_id", "admission_date").agg(F.collect_list(entry).alias("entry"))
     whole = F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), "patient_id", "admission_date", F.struct("entry").alias("data")))
     cut = F.when(F.col("admission_date").endswith("-13"), whole.substr(F.lit(1), F.length(whole) - 2)).otherwise(whole)
-    grouped.select(cut.alias("value")).write.text(base)
+    grouped.select(cut.alias("value")).write.text(base, compression="snappy")
     return bundles.read_bundles(lake.spark, base)
 
 
@@ -651,7 +655,10 @@ def external_gold_tables(lake: Lake) -> DataFrame:
 
 
 def _stored_gold(lake: Lake) -> str:
+    """The four gold tables as files, from silver tables that are written once first."""
     base = scratch_path(lake.spark, "gold")
+    lake.patients = stage(lake.patients.select(*gold.PATIENT_COLUMNS), "patients")
+    lake.claims = lake.fact_claims = stage(lake.claims.select(*gold.CLAIM_COLUMNS), "claims")
     frames = {
         "dim_patient": lake.dim,
         "fact_admissions": lake.fact,
@@ -684,7 +691,7 @@ def external_gold_views(lake: Lake) -> DataFrame:
 def _claim_versions(lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Target: the first version of each claim. Source: the last one, for claims submitted since 1998."""
     columns = ["claim_id", "submitted_date", "claim_status", "total_amount", "record_id"]
-    rows = lake.raw_claims.select(*columns)
+    rows = stage(lake.raw_claims.select(*columns), "claim-rows")  # used for both
     last = dedupe_latest(rows, ["claim_id"], ["submitted_date"], ["record_id"])
     back = [F.asc("submitted_date"), F.desc("record_id")]
     first = dedupe_latest(rows, ["claim_id"], [], back)
@@ -717,6 +724,7 @@ def schema_change_upsert(lake: Lake) -> DataFrame:
     """Three upserts: the second widens a column and adds one, the third, of few keys, adds another to few buckets."""
     path = scratch_path(lake.spark, "evolved")
     claims = dedupe_latest(lake.raw_claims, ["claim_id"], ["submitted_date"], ["record_id"])
+    claims = stage(claims.select("claim_id", "submitted_date", "procedure_description", "claim_type", "total_amount"), "claims")
     size = F.length("procedure_description")
     first = claims.select("claim_id", "submitted_date", size.alias("units"), F.col("total_amount").cast("int").alias("amount"))
     later = claims.where("submitted_date >= '1998-01-01'").select(
