@@ -233,18 +233,25 @@ def upsert_bucketed(
         present = StructType.fromDDL(live["schema"])
         layout = _agreed_layout(path, present, layout, keys, evolve)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    incoming = stage(conform(source, layout).withColumn(BUCKET, bucket), "upsert")
-    if not unique:
-        require_unique(incoming, keys)
-    touched = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())  # at most ``buckets`` values
+    incoming = conform(source, layout).withColumn(BUCKET, bucket)
     folders = dict(live["folders"]) if live else {}
-    if live is not None and not touched:
-        return
-    if any(str(b) in folders for b in touched):
-        target = conform(_read_buckets(spark, path, live, touched), layout).withColumn(BUCKET, bucket)
-        incoming = merge_upsert(target, incoming, keys, newer_by)
     name = uuid.uuid4().hex
-    overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET], sort_by=sort_by)
+    if not folders and unique:  # nothing to check or merge: used once, and the files written tell the buckets
+        overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET], sort_by=sort_by)
+        touched = _written_buckets(spark, f"{path}/versions/{name}")
+        if live is not None and not touched:
+            return
+    else:
+        incoming = stage(incoming, "upsert")
+        if not unique:
+            require_unique(incoming, keys)
+        touched = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())  # at most ``buckets`` values
+        if live is not None and not touched:
+            return
+        if any(str(b) in folders for b in touched):
+            target = conform(_read_buckets(spark, path, live, touched), layout).withColumn(BUCKET, bucket)
+            incoming = merge_upsert(target, incoming, keys, newer_by)
+        overwrite_table(incoming, f"{path}/versions/{name}", [BUCKET], sort_by=sort_by)
     layouts = {f: _layout_of(live, f) for f in set(folders.values())} if live else {}
     folders |= {str(b): name for b in touched}
     change = (live.get("change", 0) if live else 0) + 1
@@ -266,6 +273,13 @@ def upsert_bucketed(
     )
 
 
+def _written_buckets(spark: SparkSession, version: str) -> list[int]:
+    """The buckets that a written version has files of."""
+    fs, folder = _fs(spark, version)
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+    return sorted(int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(f"{BUCKET}="))
+
+
 def _agreed_layout(path: str, present: StructType, brought: StructType, keys: Sequence[str], evolve: bool) -> StructType:
     """The layout of a table after an upsert of ``brought``."""
     if {f.name: f.dataType for f in present} == {f.name: f.dataType for f in brought}:

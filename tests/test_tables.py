@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import os
 from datetime import datetime
 
@@ -11,7 +12,7 @@ from lakecare.operators.merge import DuplicateKeyError
 from lakecare.operators.quality import EmptySourceError
 from lakecare.plans import ingest
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS
-from lakecare.session import scratch_path, shared_folder
+from lakecare.session import owned_scratch, scratch_path, shared_folder
 from lakecare.sinks import evolution, tables
 from lakecare.sources import batch, control
 
@@ -80,6 +81,28 @@ def test_bucketed_upsert_leaves_untouched_buckets_alone(spark, folder):
     assert tables.read_table(spark, path).count() == 100
 
 
+def test_first_bucketed_upsert_of_unique_rows_computes_them_once(spark, folder):
+    path, computed = f"{folder}/t", spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(100).mapInArrow(counted, "id bigint").withColumn("v", F.col("id") % 3)
+    with owned_scratch(spark):
+        tables.upsert_bucketed(spark, path, rows, ["id"], buckets=8, unique=True, sort_by=["id"])
+        assert not session._OWNED.get() and computed.value == 100
+    assert sorted(r.id for r in tables.read_table(spark, path).collect()) == list(range(100))
+    live = json.loads(tables.pointer_text(spark, path))
+    found = {r[0] for r in spark.range(100).select(F.pmod(F.xxhash64("id"), F.lit(8))).distinct().collect()}
+    assert {int(b) for b in live["folders"]} == found and live["change"] == 1
+    tables.upsert_bucketed(spark, path, spark.range(100, 101).withColumn("v", F.lit(7).cast("long")), ["id"], buckets=8, unique=True)
+    assert tables.read_table(spark, path).count() == 101
+    tables.upsert_bucketed(spark, f"{folder}/none", rows.where("id < 0"), ["id"], buckets=8, unique=True)
+    assert tables.read_table(spark, f"{folder}/none").count() == 0
+
+
 def test_bucketed_upsert_survives_a_stop_and_refuses_other_buckets(spark, folder, monkeypatch):
     path = f"{folder}/t"
     tables.upsert_bucketed(spark, path, spark.range(100).withColumn("v", F.lit(0)), ["id"], buckets=8)
