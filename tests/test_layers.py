@@ -178,6 +178,23 @@ def test_split_is_stable_and_complete(features):
     assert 0.7 < first[0].count() / features.count() < 0.9
 
 
+def test_forests_see_few_partitions_however_many_the_rows_lie_in(features, monkeypatch):
+    seen, fit = [], readmission.RandomForestClassifier.fit
+
+    def watched(self, rows, *params):
+        seen.append(rows.rdd.getNumPartitions())
+        return fit(self, rows, *params)
+
+    monkeypatch.setattr(readmission.RandomForestClassifier, "fit", watched)
+    spread = features.repartition(200)
+    training, _ = readmission.split(spread)
+    chosen = readmission.fit_sample(training, training.count() // 2)
+    assert chosen.exceptAll(training).count() == 0 and 0 < chosen.count() < training.count()
+    assert rows(readmission.fit_sample(training, 10**6)) == rows(training)
+    readmission.train(spread, grid_trees=(2,), grid_depth=(3,), folds=2, drop_leaky=True, fit_rows=training.count() // 2)
+    assert len(seen) == 3 and max(seen) <= readmission.FIT_PARTS
+
+
 def test_model_trains_scores_and_reloads(spark, features, folder):
     trained = readmission.train(features, grid_trees=(5,), grid_depth=(3, 4), folds=2, drop_leaky=True)
     few = readmission.train(features, grid_trees=(2,), grid_depth=(3,), folds=2, drop_leaky=True, fit_rows=40).params
