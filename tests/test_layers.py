@@ -212,3 +212,8 @@ def test_model_trains_scores_and_reloads(spark, features, folder):
     log = readmission.metrics_table(spark, trained, "r", AS_OF)
     assert log.where("kind = 'param'").count() == 3 and log.where("kind = 'metric'").count() == 4
     assert sum(r.patients for r in readmission.risk_band_distribution(scored).collect()) == features.count()
+
+
+def test_calendar_of_the_facts_is_read_off_below_the_join(layers):
+    text = gold.fact_admissions(*layers)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Join") < text.index("year(")

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lakecare.operators import joins
 from lakecare.operators.dedupe import dedupe_latest
 from lakecare.operators.joins import left_join_skewed
 from lakecare.operators.merge import DuplicateKeyError, merge_upsert, require_unique
@@ -154,3 +155,16 @@ def test_quality_measures(spark):
     assert rows(gate_alerts(gate, "p", "r")) == [("p", "No data ingested from empty", "r")]
     with pytest.raises(EmptySourceError, match="empty"):
         require_non_empty({"full": df, "empty": df.where("k = 'zz'")})
+
+
+def test_keys_are_counted_one_by_one_only_where_a_hash_cell_is_too_full(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(joins, "stage", lambda df, name: written.append(name) or df)
+    df = spark.range(1000).select(F.concat(F.lit("P"), F.col("id") % 300).alias("p"), F.lit(1).alias("c"))
+    assert joins.hot_keys(df, ["p"], joins.HOT_ROWS) == (None, 0) and not written
+    assert joins.hot_keys(df.limit(0), ["p"], joins.HOT_ROWS) == (None, 0) and not written
+    hot = df.unionByName(spark.range(500).select(F.lit("P7").alias("p"), F.lit(1).alias("c")))
+    for cells, threshold in ((16, 400), (1 << 16, 400)):  # bounded by cells first, and counted at once
+        monkeypatch.setattr(joins, "CELLS", cells)
+        found, n = joins.hot_keys(hot, ["p"], threshold)
+        assert n == 1 and rows(found) == [("P7", 504)] and written.pop() == "hot-keys"
