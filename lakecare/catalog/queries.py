@@ -19,7 +19,7 @@ from lakecare.operators.merge import merge_upsert
 from lakecare.operators.quality import EmptySourceError, date_format_flags, drop_null_keys, gate_alerts, non_empty_gate, null_counts
 from lakecare.plans import gold, incremental, ingest, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, EXTRACT_COLUMNS, GOLD_PARTITIONS, VITALS_EVENT
-from lakecare.session import scratch_path, stage, streaming_session
+from lakecare.session import delete_path, scratch_path, stage, streaming_session
 from lakecare.sinks import checksums, clustering, tables
 from lakecare.sources import batch, bundles, control, rescue, retail
 from lakecare.streaming import compaction, fanout, landing, vitals as streams
@@ -876,10 +876,13 @@ def layered_jobs_dashboard(lake: Lake) -> DataFrame:
 
 
 def _ran_layers(lake: Lake) -> str:
-    """Both jobs over the raw tables as they are: repeated keys, malformed dates and the word NULL."""
+    """Both jobs over the raw tables as they are: repeated keys, malformed dates and the word NULL.
+
+    A layer is deleted once the next one is written from it.
+    """
     base, day = scratch_path(lake.spark, "layers"), run_date_folder(RUN_DATE)
-    lake.raw_patients.write.parquet(f"{base}/bronze/patients/{day}")
-    lake.raw_claims.write.parquet(f"{base}/bronze/claims/{day}")
+    tables.overwrite_table(lake.raw_patients, f"{base}/bronze/patients/{day}")
+    tables.overwrite_table(lake.raw_claims, f"{base}/bronze/claims/{day}")
     jobs.bronze_to_silver(
         lake.spark, f"{base}/bronze", f"{base}/silver", RUN_DATE, AS_OF, fmt="parquet", buckets=16,
         ties={"patients": PATIENT_TIES, "claims": [F.desc_nulls_last("total_amount"), "record_id"]},
@@ -888,7 +891,9 @@ def _ran_layers(lake: Lake) -> str:
             "claims": StructType([*BRONZE_CLAIMS.fields, StructField("record_id", StringType())]),
         },
     )
+    delete_path(lake.spark, f"{base}/bronze")
     jobs.silver_to_gold(lake.spark, f"{base}/silver", f"{base}/gold", RUN_DATE, AS_OF)
+    delete_path(lake.spark, f"{base}/silver")
     return base
 
 

@@ -23,6 +23,7 @@ from lakecare.sources.batch import read_bronze
 
 SILVER_SOURCES = ("patients", "claims")
 BUCKETS = 256
+FILE_ROWS = 10_000  # rows a file of a bucket holds on average where buckets are not gathered, at least
 # The columns that stored tables are clustered by.
 SILVER_CLUSTERS = {"patients": ("patient_id", "admission_date"), "claims": ("claim_id", "patient_id")}
 GOLD_CLUSTERS = {"dim_patient": ("patient_id",), "fact_admissions": ("patient_id", "admission_date")}
@@ -82,7 +83,10 @@ def bronze_to_silver(
         path, order = f"{silver_base}/{name}", SILVER_CLUSTERS[name]
         with owned_scratch(spark):
             if layout == "bucketed":
-                upsert_bucketed(spark, path, rows, keys, buckets, unique=True, sort_by=order)
+                # The deduplication has just dealt the rows out by key; large batches are not dealt out once more.
+                tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                gather = measures[name]["rows"] < buckets * tasks * FILE_ROWS
+                upsert_bucketed(spark, path, rows, keys, buckets, unique=True, sort_by=order, gather=gather)
             else:
                 if name == "patients":
                     day = F.col("admission_date")

@@ -105,8 +105,31 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Setting by which a query's shuffle files go when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query that is started in the block as soon as it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and a job of many writes
+    holds the shuffles of all of them at once. Meant for writes, which run their plan once.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back, so that later uses prune columns."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,8 +1,11 @@
 """Silver, gold, serving and model on small hand-made tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from lakecare.catalog import queries
 from lakecare.ml import readmission
 from lakecare.plans import gold, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, GOLD
@@ -217,3 +220,28 @@ def test_model_trains_scores_and_reloads(spark, features, folder):
 def test_calendar_of_the_facts_is_read_off_below_the_join(layers):
     text = gold.fact_admissions(*layers)._jdf.queryExecution().optimizedPlan().toString()
     assert text.index("Join") < text.index("year(")
+
+
+def test_large_batches_are_not_dealt_out_by_bucket_again(spark, folder, monkeypatch):
+    seen, write = [], jobs.upsert_bucketed
+    monkeypatch.setattr(jobs, "upsert_bucketed", lambda *a, **b: (seen.append(b["gather"]), write(*a, **b)))
+    for name, data, schema in (("patients", PATIENTS, BRONZE_PATIENTS), ("claims", CLAIMS, BRONZE_CLAIMS)):
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/bronze/{name}/2024/02/01")
+    stored = []
+    for size in (10_000, 0):
+        monkeypatch.setattr(jobs, "FILE_ROWS", size)
+        jobs.bronze_to_silver(spark, f"{folder}/bronze", f"{folder}/silver-{size}", RUN, AS_OF, fmt="parquet", buckets=4)
+        stored.append([rows(tables.read_table(spark, f"{folder}/silver-{size}/{name}")) for name in ("patients", "claims")])
+    assert seen == [True, True, False, False] and stored[0] == stored[1]
+
+
+def test_layers_are_deleted_once_the_next_one_is_written(spark, folder):
+    lake = queries.Lake(spark, folder)
+    lake.raw_patients = spark.createDataFrame([(*r, i) for i, r in enumerate(PATIENTS)], f"{spark_ddl(BRONZE_PATIENTS)}, record_id long")
+    lake.raw_claims = spark.createDataFrame([(*r, str(i)) for i, r in enumerate(CLAIMS)], f"{spark_ddl(BRONZE_CLAIMS)}, record_id string")
+    base = queries._ran_layers(lake)
+    assert os.listdir(base) == ["gold"] and tables.read_table(spark, f"{base}/gold/dim_patient").count() == 3
+
+
+def spark_ddl(schema):
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -381,3 +382,32 @@ def test_versioned_upsert_computes_its_source_once(spark, folder):
         tables.upsert_table(spark, path, source.mapInArrow(counted, source.schema), ["k"])
     assert seen.value == 200
     assert rows(tables.read_table(spark, path)) == sorted([(k, 0 if k < 50 else 50) for k in range(150)], key=repr)
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles())
+    return {f.getName() for f in names if f.getName().startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, folder):
+    before, setting = _shuffle_files(spark), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    dealt = spark.range(1000).groupBy((F.col("id") % 50).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    with owned_scratch(spark):
+        assert session.stage(dealt, "counts").count() == 50
+        tables.publish_version(dealt, f"{folder}/t", ["n"])
+        until = time.time() + 20
+        while (left := _shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.2)
+    written = {name for name in left if name.startswith("shuffle_") and name.endswith(".data")}
+    assert len(written) <= 8  # at most those of the count
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+
+
+def test_ungathered_buckets_hold_the_same_rows(spark, folder):
+    dealt = spark.range(500).select((F.col("id") % 90).alias("id"), F.col("id").alias("v")).groupBy("id").agg(F.max("v").alias("v"))
+    for gather in (True, False):
+        path = f"{folder}/{gather}"
+        tables.upsert_bucketed(spark, path, dealt, ["id"], buckets=4, unique=True, sort_by=["id"], gather=gather)
+        tables.upsert_bucketed(spark, path, spark.range(3).withColumn("v", F.lit(7).cast("long")), ["id"], buckets=4, unique=True, gather=gather)
+    assert rows(tables.read_table(spark, f"{folder}/True")) == rows(tables.read_table(spark, f"{folder}/False"))
