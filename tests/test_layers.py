@@ -245,3 +245,15 @@ def test_layers_are_deleted_once_the_next_one_is_written(spark, folder):
 
 def spark_ddl(schema):
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
+def test_forests_are_fitted_on_all_training_rows(features, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows were chosen")
+
+    fitted, fit = [], readmission.RandomForestClassifier.fit
+    monkeypatch.setattr(readmission, "fit_sample", refused)
+    monkeypatch.setattr(readmission.RandomForestClassifier, "fit", lambda self, rows, *p: (fitted.append(rows.count()), fit(self, rows, *p))[1])
+    trained = readmission.train(features, grid_trees=(2,), grid_depth=(3,), folds=2, parallelism=1)
+    whole = readmission.split(features)[0].count()
+    assert trained.params["train_size"] == str(whole) and fitted[0] + fitted[1] == whole == fitted[2]
