@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lakecare.functions import rules
 from lakecare.functions.clock import AsOf, as_of_timestamp
+from lakecare.session import owned_scratch, stage
 
 # Model inputs and training parameters.
 CATEGORIES = ("gender", "age_group", "ward", "los_bucket", "claim_type")
@@ -30,6 +33,7 @@ TREES, DEPTH, LEAF_ROWS, SEED = 100, 8, 5, 42
 GRID_TREES, GRID_DEPTH, FOLDS = (50, 100), (6, 8), 3
 TRAIN_PERCENT = 80
 FIT_PARTS = 24  # partitions of rows chosen from more; a forest ships its counts once per partition and level
+CACHED_ROWS = 2_000_000  # training rows up to which vectors are cached and the forests of a fold fitted side by side
 FACT_INPUTS = (
     "patient_id", "hospital_id", "admission_date", "length_of_stay", "diagnosis_code", "ward", "age",
     "age_group", "total_amount", "coverage_ratio", "claim_type", "readmission_flag",
@@ -151,10 +155,13 @@ def train(
     """Grid search by cross-validated ROC area, then the best forest on all training rows.
 
     The feature stages are fitted anew with every fold, so no fold that validates a forest has
-    shaped its inputs; the forests of a fold share them. Folds come from a row hash. The vectors are
-    cached on disk and memory while the forests of their fold are fitted. Fitting takes all training
-    rows, testing and scoring all rows; only a caller who asks for ``fit_rows`` has about as many,
-    chosen by a row hash, fitted on.
+    shaped its inputs; the forests of a fold share them. Folds come from a row hash. Fitting takes all
+    training rows, testing and scoring all rows; only a caller who asks for ``fit_rows`` has about as
+    many, chosen by a row hash, fitted on.
+
+    The columns of the training rows are cached in memory and on disk. The vectors made of them are several
+    times as large: of more than ``CACHED_ROWS`` rows they are written as compressed Parquet instead. A forest
+    caches its own binned rows, so of as many rows one is fitted at a time; they are enough for all cores.
     """
     training, testing = split(features)
     fold = hash_bucket(folds, *ROW_KEY, salt=SEED + 1).alias("fold")
@@ -166,15 +173,17 @@ def train(
     grid = (
         ParamGridBuilder().addGrid(forest.numTrees, list(grid_trees)).addGrid(forest.maxDepth, list(grid_depth)).build()
     )
+    counts = {"train_size": rows.count(), "test_size": testing.count()}
+    large = counts["train_size"] > CACHED_ROWS
+    workers = 1 if large else parallelism
     areas = [
-        fold_areas(rows.where(F.col("fold") != f), rows.where(F.col("fold") == f), forest, grid, parallelism, drop_leaky)
+        fold_areas(rows.where(F.col("fold") != f), rows.where(F.col("fold") == f), forest, grid, workers, drop_leaky, large)
         for f in range(folds)
     ]
     means = np.mean(areas, axis=0)
-    prepared, vectors = prepare(rows, drop_leaky)
-    best = forest.fit(vectors, grid[int(np.argmax(means))])
-    counts = {"train_size": rows.count(), "test_size": testing.count()}
-    vectors.unpersist()
+    prepared = Pipeline(stages=feature_stages(drop_leaky)).fit(rows)
+    with kept_vectors(prepared, rows, large) as vectors:
+        best = forest.fit(vectors, grid[int(np.argmax(means))])
     rows.unpersist()
     # A fitted forest refers to its session through the training summary, which cannot be
     # sent to tasks once a row count was observed in that session; a copy has no summary.
@@ -196,31 +205,44 @@ def fit_sample(training: DataFrame, fit_rows: int) -> DataFrame:
     return chosen.repartition(FIT_PARTS, *ROW_KEY).sortWithinPartitions(*ROW_KEY)
 
 
-def prepare(rows: DataFrame, drop_leaky: bool = False) -> tuple[PipelineModel, DataFrame]:
-    """The feature stages fitted on the rows, and the cached vectors they make of them."""
-    prepared = Pipeline(stages=feature_stages(drop_leaky)).fit(rows)
-    return prepared, prepared.transform(rows).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def kept_vectors(prepared: PipelineModel, rows: DataFrame, large: bool) -> Iterator[DataFrame]:
+    """The rows' vectors for use inside the block: cached, or of many rows written to scratch."""
+    vectors = prepared.transform(rows).select("features", "label")
+    if large:
+        with owned_scratch(rows.sparkSession):
+            yield stage(vectors, "vectors")
+        return
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield vectors
+    finally:
+        vectors.unpersist()
 
 
 def fold_areas(
-    training: DataFrame, validating: DataFrame, forest: RandomForestClassifier, grid: list[dict], parallelism: int, drop_leaky: bool
+    training: DataFrame,
+    validating: DataFrame,
+    forest: RandomForestClassifier,
+    grid: list[dict],
+    parallelism: int,
+    drop_leaky: bool,
+    large: bool = False,
 ) -> list[float]:
     """ROC area on the validating rows of each forest of the grid, fitted on the training rows, some at a time."""
     if training.isEmpty() or validating.isEmpty():
         raise ValueError("a fold without rows to fit on or to validate with")
-    prepared, vectors = prepare(training, drop_leaky)
-    unseen = prepared.transform(validating).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = Pipeline(stages=feature_stages(drop_leaky)).fit(training)
     roc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     session = training.sparkSession
 
-    def area(params: dict) -> float:
-        return roc.evaluate(forest.fit(vectors, params).copy().transform(unseen))  # without its summary, see train
+    with kept_vectors(prepared, training, large) as vectors, kept_vectors(prepared, validating, large) as unseen:
+
+        def area(params: dict) -> float:
+            return roc.evaluate(forest.fit(vectors, params).copy().transform(unseen))  # without its summary, see train
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        found = list(pool.map(inheritable_thread_target(session)(area), grid))
-    vectors.unpersist()
-    unseen.unpersist()
-    return found
+        with ThreadPoolExecutor(parallelism) as pool:
+            return list(pool.map(inheritable_thread_target(session)(area), grid))
 
 
 def evaluate(model: PipelineModel, rows: DataFrame) -> dict[str, float]:

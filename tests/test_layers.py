@@ -9,6 +9,7 @@ from lakecare.catalog import queries
 from lakecare.ml import readmission
 from lakecare.plans import gold, jobs, serving, silver
 from lakecare.schemas import BRONZE_CLAIMS, BRONZE_PATIENTS, GOLD
+from lakecare.session import stage
 from lakecare.sinks import tables
 
 AS_OF, RUN = "2024-02-01", "2024-02-01"
@@ -257,3 +258,27 @@ def test_forests_are_fitted_on_all_training_rows(features, monkeypatch):
     trained = readmission.train(features, grid_trees=(2,), grid_depth=(3,), folds=2, parallelism=1)
     whole = readmission.split(features)[0].count()
     assert trained.params["train_size"] == str(whole) and fitted[0] + fitted[1] == whole == fitted[2]
+
+
+def test_vectors_of_many_rows_are_written_to_scratch_and_forests_fitted_in_turn(spark, features, monkeypatch):
+    together = features.coalesce(1)  # one file of the same order, so that forests draw the same rows
+    few = readmission.train(together, grid_trees=(2,), grid_depth=(2, 3), folds=2)
+    staged, running, fit = [], [], readmission.RandomForestClassifier.fit
+
+    def watched(self, rows, *params):
+        running.append(1)
+        assert len(running) == 1 and staged and not rows.storageLevel.useMemory
+        found = fit(self, rows, *params)
+        running.pop()
+        return found
+
+    def noted(df, name):
+        staged.append(stage(df, name))
+        return staged[-1]
+
+    monkeypatch.setattr(readmission, "CACHED_ROWS", 10)
+    monkeypatch.setattr(readmission, "stage", noted)
+    monkeypatch.setattr(readmission.RandomForestClassifier, "fit", watched)
+    many = readmission.train(together, grid_trees=(2,), grid_depth=(2, 3), folds=2)
+    assert (many.fold_auc, many.metrics, many.params) == (few.fold_auc, few.metrics, few.params)
+    assert len(staged) == 5 and not any(tables.path_exists(spark, f.rsplit("/", 1)[0]) for df in staged for f in df.inputFiles())
